@@ -63,11 +63,16 @@ def clean_cells(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 
 def plain_numbers(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    return _map_text(df, lambda c, _: tx.plain_number(c), keep)
+    bare = _map_text(df, lambda c, _: tx.plain_number(c), keep)
+    return _map_text(bare, lambda c, _: tx.null_if_empty(c), keep)
 
 
 def power_units(df: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    return _map_text(df, lambda c, name: tx.power_in_kw(c) if tx.is_power_name(name) else c, keep)
+    """Power texts to kW texts in columns named after power; the number is its own step, so it is read once."""
+    powered = [c for c in text_columns(df, keep) if tx.is_power_name(c)]
+    measured = df.withColumns({f"kw:{c}": tx.kilowatts(F.col(c)) for c in powered})
+    shown = measured.withColumns({c: F.coalesce(tx.number_text(F.col(f"`kw:{c}`")), F.col(c)) for c in powered})
+    return shown.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 def datetimes_to_dates(df: DataFrame) -> DataFrame:
