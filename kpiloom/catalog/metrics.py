@@ -16,7 +16,6 @@ from kpiloom.plans.registry import MARKET_METRICS, MARKET_SCHEMA, READINESS_METR
 
 LONG = "rollup_level, date, category, market, metric_id, label, value, unit"
 MARKET_LONG = "rollup_level, date, provider, region, metric_id, label, value, unit"
-FACT_COLUMNS = "date, revenue, capacity_mw, leased_mw, contracted_kw, region, provider"
 
 
 def unrounded(spark, folder):
@@ -147,7 +146,8 @@ def change_percent(spark, folder):
     return published_long(views.requirements(spark, folder), READINESS_METRICS, changes=True)
 
 
-@query("SCH1", f"WITH {S.FACTS} SELECT {FACT_COLUMNS} FROM facts")
+@query("SCH1", f"WITH {S.FACTS} SELECT date, revenue::DOUBLE AS revenue, capacity_mw::DOUBLE AS capacity_mw, leased_mw::DOUBLE AS leased_mw, "
+       "contracted_kw::DOUBLE AS contracted_kw, region, provider FROM facts")
 def aliases_resolved(spark, folder):
     return _doubles(sc.normalize(aliased(spark, folder), MARKET_SCHEMA).facts)
 

@@ -125,7 +125,7 @@ def summary_of(spark, folder):
     return mc.validation_summary(mc.metric_findings(Normalized(flawed(spark, folder)), MARKET_METRICS))
 
 
-_SUMMARY = _OUTLIERS + """, counts AS (SELECT
+SUMMARY_SQL = _OUTLIERS + """, counts AS (SELECT
   (count(*) > count(revenue))::INT + (count(*) > count(date))::INT + (count(*) FILTER (capacity_mw = 0) > 0)::INT AS error_count,
   (count(*) FILTER (leased_mw > capacity_mw) > 0)::INT + (count(*) FILTER (revenue < 0) > 0)::INT + 1 + 4 + (SELECT count(*) FROM o WHERE n > 0) AS warning_count
   FROM flawed)
@@ -133,7 +133,7 @@ SELECT CASE WHEN error_count > 0 THEN 'failed' WHEN warning_count > 0 THEN 'pass
   error_count::BIGINT AS error_count, warning_count::BIGINT AS warning_count FROM counts"""
 
 
-@query("MVL11", _SUMMARY)
+@query("MVL11", SUMMARY_SQL)
 def status(spark, folder):
     return summary_of(spark, folder)
 

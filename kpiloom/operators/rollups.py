@@ -77,6 +77,9 @@ def rollup_parts(facts: DataFrame, registry: Registry, keys: list[str] | None =
     if not rollups:
         raise ConfigError("no declared rollup can be computed from these columns")
     segments = sorted({s for r in rollups for s in r})
+    clash = sorted(set(keys) & set(segments))
+    if clash:
+        raise ConfigError(f"columns cannot be key and segment at once: {clash}")
     fine = finest_parts(facts, registry, keys)
     part_names = list(_parts(registry))
     shared = [F.col(c) for c in [*keys, "date"]]

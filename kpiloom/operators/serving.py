@@ -72,7 +72,7 @@ READINESS_DASHBOARD = Dashboard(
 )
 
 
-def _lookup(table: dict[str, str], key: Column, fallback: Column) -> Column:
+def looked_up(table: dict[str, str], key: Column, fallback: Column) -> Column:
     """A declared map as a literal; nothing to join."""
     if not table:
         return fallback
@@ -115,7 +115,7 @@ def _pivoted(rows: DataFrame, segment: str) -> DataFrame:
 def segment_export(long: DataFrame, segment: str, labels: dict[str, str] | None = None) -> DataFrame:
     """Completion and gaps per segment at its newest date, one row per segment."""
     rows = _pivoted(at_latest_date(long, f"date_{segment}"), segment)
-    return rows.withColumn(segment, _lookup(labels or {}, F.col(segment), F.col(segment))).orderBy(segment)
+    return rows.withColumn(segment, looked_up(labels or {}, F.col(segment), F.col(segment))).orderBy(segment)
 
 
 def category_export(long: DataFrame) -> DataFrame:
@@ -146,9 +146,9 @@ def kpi_cards(long: DataFrame, dictionary: DataFrame, section: Section, dashboar
     rows = described(kpi_rows(long, section.rollup_level, section.metrics), dictionary).filter(F.col("metric_id").isin(READINESS_IDS))
     metric_id = F.col("metric_id")
     return rows.orderBy(display_order(metric_id)).select(
-        metric_id, _lookup(dashboard.kpi_labels, metric_id, F.col("label")).alias("label"), "value", "unit",
+        metric_id, looked_up(dashboard.kpi_labels, metric_id, F.col("label")).alias("label"), "value", "unit",
         card_value(F.col("value"), F.col("unit")).alias("formatted_value"),
-        _lookup(dashboard.kpi_descriptions, metric_id, F.col("description")).alias("description"),
+        looked_up(dashboard.kpi_descriptions, metric_id, F.col("description")).alias("description"),
         (metric_id == "readiness_completion_pct").alias("is_primary"),
     )
 
@@ -166,7 +166,7 @@ def breakdown_table(rows: DataFrame, segment: str, labels: dict[str, str] | None
     """Dashboard bars per segment, most complete first; absent figures show as zero."""
     pct, gaps = F.coalesce("readiness_completion_pct", F.lit(0.0)), F.coalesce("open_gap_count", F.lit(0.0))
     return _pivoted(rows, segment).select(
-        _lookup(labels or {}, F.col(segment), F.col(segment)).alias("name"), pct.alias("completion_pct"),
+        looked_up(labels or {}, F.col(segment), F.col(segment)).alias("name"), pct.alias("completion_pct"),
         card_value(pct, F.lit("%")).alias("completion_pct_formatted"), gaps.alias("open_gap_count"),
         card_value(gaps, F.lit("count")).alias("open_gap_count_formatted"),
         bar_width(pct).alias("bar_width"), completion_colour(pct).alias("bar_color"),

@@ -84,12 +84,12 @@ def _spans_lines(spark: SparkSession, paths: list[str]) -> bool:
     return not spark.read.text(paths).filter(quotes % 2 == 1).isEmpty()
 
 
-def _read(spark: SparkSession, paths: list[str], layout: Layout, multiline: bool | None) -> DataFrame:
+def read_layout(spark: SparkSession, paths: list[str], layout: Layout, multiline: bool | None = None, header: bool = True) -> DataFrame:
     """Files of one layout in one scan, with the source file and the text of malformed rows."""
     if multiline is None:
         multiline = _spans_lines(spark, paths)
     reader = (
-        spark.read.schema(layout.schema(BROKEN)).option("header", True).option("sep", layout.separator)
+        spark.read.schema(layout.schema(BROKEN)).option("header", header).option("sep", layout.separator)
         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BROKEN).option("multiLine", multiline).option("enforceSchema", True)
     )
@@ -119,7 +119,7 @@ def read_delimited(spark: SparkSession, paths: str | list[str], separator: str |
     if separator and separator != layout.separator:
         head = spark.read.text(paths[0]).first().value.removeprefix("\ufeff")
         layout = Layout(separator, _distinct_headers(next(csv.reader([head], delimiter=separator))))
-    return null_sentinels(_read(spark, paths, layout, multiline).select(*[F.col(f"`{c}`") for c in layout.header]))
+    return null_sentinels(read_layout(spark, paths, layout, multiline).select(*[F.col(f"`{c}`") for c in layout.header]))
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
@@ -149,6 +149,6 @@ def read_folder(spark: SparkSession, folder: str, multiline: bool | None = None,
             else:
                 groups.setdefault(layout, []).append(path)
     for layout, members in groups.items():
-        table = with_overlong_flag(_read(spark, members, layout, multiline), layout)
+        table = with_overlong_flag(read_layout(spark, members, layout, multiline), layout)
         batch.tables[layout] = null_sentinels(table, [SOURCE_FILE])
     return batch

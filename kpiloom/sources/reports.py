@@ -94,19 +94,19 @@ def load_bundle(spark: SparkSession, folder: str, long_schema: str | None = None
     )
 
 
-def load_insights(spark: SparkSession, path: str) -> DataFrame:
-    """insights[] of a report, one row each."""
+def load_insights(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """insights[] of reports, one row each. ``multiline=False`` reads many documents, one per line."""
     return or_empty(
         spark, path, INSIGHTS_SCHEMA,
-        lambda p: spark.read.schema(INSIGHTS_SCHEMA).option("multiLine", True).json(p),
+        lambda p: spark.read.schema(INSIGHTS_SCHEMA).option("multiLine", multiline).json(p),
     ).select(F.inline("insights"))
 
 
-def load_summary(spark: SparkSession, path: str) -> DataFrame:
+def load_summary(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Run summary with its date range flattened and absent parts filled in."""
     report = or_empty(
         spark, path, SUMMARY_SCHEMA,
-        lambda p: spark.read.schema(SUMMARY_SCHEMA).option("multiLine", True).json(p),
+        lambda p: spark.read.schema(SUMMARY_SCHEMA).option("multiLine", multiline).json(p),
     )
     text, number = (lambda c: F.coalesce(F.col(c), F.lit(""))), (lambda c: F.coalesce(F.col(c), F.lit(0)).cast("bigint"))
     return report.select(
