@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from kpiloom.functions import text as tx
 from kpiloom.functions.dates import messy_date
 from kpiloom.plans.registry import ColumnRule, ConfigError
+from kpiloom.session import spread
 
 DATE_SHARE = 0.5  # at least this share of present values must read as dates
 
@@ -144,7 +145,7 @@ def clean(raw: DataFrame, keep: list[str] | None = None) -> Cleaned:
     then only removed within the same values of those columns.
     """
     keep = keep or []
-    raw = null_sentinels(raw, keep)
+    raw = null_sentinels(spread(raw), keep)
     headers = clean_headers([c for c in raw.columns if c not in keep])
     # Which raw text columns were plain numbers all along: carried beside the cleaned text so that
     # one aggregate answers both questions.
