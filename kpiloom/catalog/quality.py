@@ -13,6 +13,7 @@ from kpiloom.operators.schema import Normalized, normalize
 from kpiloom.plans import views
 from kpiloom.plans.metrics import published_long
 from kpiloom.plans.registry import MARKET_METRICS, MARKET_SCHEMA, READINESS_METRICS
+from kpiloom.session import materialized
 
 AMOUNTS = ["capacity_mw", "contracted_kw", "leased_mw", "revenue"]
 
@@ -108,9 +109,8 @@ _OUTLIERS = f"{_FLAWED}, q AS (SELECT {_QUARTILES} FROM flawed), o AS (" + " UNI
 @query("MVL10", _OUTLIERS + " SELECT \"column\", round_even(low, 4) AS low, round_even(high, 4) AS high, n, "
        "CASE WHEN n > 0 THEN n || ' outlier value(s) in ''' || \"column\" || ''' (outside [' || format('{:.2f}', low) || ', ' || format('{:.2f}', high) || '])' END AS message FROM o")
 def outliers(spark, folder):
-    facts = flawed(spark, folder)
-    texts = mc.outlier_findings(facts, MARKET_METRICS).select("column", "message")
-    fences = iqr_outliers(facts, AMOUNTS)
+    fences = materialized(iqr_outliers(flawed(spark, folder), AMOUNTS), "fences")
+    texts = mc.outlier_texts(fences).select("column", "message")
     return fences.join(texts, "column", "left").withColumns({c: F.rint(F.col(c) * 10000) / 10000 for c in ("low", "high")})
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kpiloom.operators import findings as fnd
 from kpiloom.operators.ordering import iqr_outliers
@@ -110,23 +111,25 @@ def key_findings(facts: DataFrame, registry: Registry) -> DataFrame:
     )
 
 
-def outlier_findings(facts: DataFrame, registry: Registry) -> DataFrame:
-    numeric = {f.name for f in facts.schema.fields if f.dataType.typeName() not in ("string", "date", "boolean", "timestamp", "timestamp_ntz")}
-    columns = [c for c in registry.summed_columns if c in numeric]
-    if not columns:
-        return fnd.known(facts.sparkSession, [])
-
+def outlier_texts(outliers: DataFrame) -> DataFrame:
+    """Findings for the columns that have outliers, from ``iqr_outliers``."""
     def cents(c: Column) -> Column:
         return F.replace(F.format_number(c, 2), F.lit(","), F.lit(""))
 
     message = F.concat(_text(F.col("n")), F.lit(" outlier value(s) in '"), F.col("column"), F.lit("' (outside ["),
                        cents(F.col("low")), F.lit(", "), cents(F.col("high")), F.lit("])"))
-    return iqr_outliers(facts, columns).filter(F.col("n") > 0).select(
+    return outliers.filter(F.col("n") > 0).select(
         F.lit("outliers").alias("check"), F.lit(fnd.WARNING).alias("severity"), "column",
         F.col("n").cast("bigint").alias("n"), message.alias("message"),
     )
 
 
+def outlier_findings(facts: DataFrame, registry: Registry) -> DataFrame:
+    numeric = {f.name for f in facts.schema.fields if isinstance(f.dataType, T.NumericType)}
+    columns = [c for c in registry.summed_columns if c in numeric]
+    return outlier_texts(iqr_outliers(facts, columns)) if columns else fnd.known(facts.sparkSession, [])
+
+
 def metric_findings(normalized: Normalized, registry: Registry) -> DataFrame:
     facts = normalized.facts
     frames = [column_findings(normalized, registry), value_findings(facts, registry), duplicate_findings(facts)]

@@ -2,8 +2,8 @@
 
 Values are first reduced to (value, weight). Approximate quantiles of those values cut the line into
 slices of similar size; each slice is summed on its own and shifted by the total of the slices before
-it. Only the slice totals (a fixed number of rows) are ordered in one place. The cuts steer balance
-only: results are exact wherever they fall.
+it. The cuts, a fixed number per group, are fetched once and used as literals, so every part of a plan
+agrees on them; they steer balance only, and results are exact wherever they fall.
 """
 
 from __future__ import annotations
@@ -17,48 +17,63 @@ BRANCHES = 16
 SLICES = BRANCHES * BRANCHES
 
 
-def _cut_points(value: Column) -> Column:
-    return F.percentile_approx(value, [i / SLICES for i in range(1, SLICES)], 20 * SLICES)
+def _cut_points(values: DataFrame, value: str, group: str | None) -> dict:
+    """Per group (None without one) the ascending cuts; a fixed number of values reaches the driver."""
+    wanted = F.percentile_approx(value, [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("cuts")
+    rows = (values.groupBy(group) if group else values.groupBy()).agg(wanted).collect()
+    return {(r[group] if group else None): sorted(r["cuts"] or []) for r in rows}
 
 
-def _slice_of(value: Column) -> Column:
-    """Number of cuts below the value, found in two steps: every sixteenth cut, then those in between."""
-    def below(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut < value))
+def _below(cuts: Column, value: Column) -> Column:
+    return F.size(F.filter(cuts, lambda cut: cut < value))
 
-    return F.col("coarse") * BRANCHES + below(F.slice("cuts", F.col("coarse") * BRANCHES + 1, F.lit(BRANCHES - 1)))
 
+def with_slice(values: DataFrame, value: str, group: str | None = None) -> DataFrame:
+    """Adds ``slice``, the number of cuts below the value: every sixteenth cut is tried first, then those between."""
+    cuts = {g: c for g, c in _cut_points(values, value, group).items() if c}
+    kind = values.schema[value].dataType
 
-def _with_slice(placed: DataFrame, value: str) -> DataFrame:
-    every = F.array(*[F.get("cuts", F.lit(i * BRANCHES - 1)) for i in range(1, BRANCHES)])
-    coarse = F.size(F.filter(every, lambda cut: cut < F.col(value)))
-    return placed.withColumn("coarse", coarse).withColumn("slice", _slice_of(F.col(value))).drop("cuts", "coarse")
+    def literal(points: list) -> Column:
+        return F.array(*[F.lit(p).cast(kind) for p in points])
 
+    def chosen(pick) -> Column:
+        if group is None:
+            return literal(pick(next(iter(cuts.values()), [])))
+        table = F.create_map(*[x for g, points in cuts.items() for x in (F.lit(g), literal(pick(points)))])
+        return table[F.col(group)]
 
-def with_weight_before(values: DataFrame, value: str, weight: str, groups: list[str] | None = None) -> DataFrame:
+    if not cuts:
+        return values.withColumn("slice", F.lit(0))
+    coarse = _below(chosen(lambda points: points[BRANCHES - 1 :: BRANCHES]), F.col(value))
+    between = F.slice(chosen(lambda points: points), F.col("coarse") * BRANCHES + 1, F.lit(BRANCHES - 1))
+    fine = F.col("coarse") * BRANCHES + _below(between, F.col(value))
+    return values.withColumn("coarse", coarse).withColumn("slice", fine).drop("coarse")
+
+
+def _offsets(sliced: DataFrame, weight: str, keys: list[str]) -> DataFrame:
+    """Per slice its weight and that of the slices before it. At most SLICES rows per group, ordered in one place."""
+    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sliced.groupBy(*keys, "slice").agg(F.sum(weight).alias("slice_weight"))
+    return totals.withColumn("offset", F.coalesce(F.sum("slice_weight").over(earlier), F.lit(0)))
+
+
+def _placed(sliced: DataFrame, offsets: DataFrame, value: str, weight: str, keys: list[str]) -> DataFrame:
+    """Adds ``before``, for the slices that ``offsets`` lists."""
+    running = Window.partitionBy(*keys, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    return sliced.join(F.broadcast(offsets), [*keys, "slice"]).withColumn(
+        "before", F.col("offset") + F.coalesce(F.sum(weight).over(running), F.lit(0))
+    )
+
+
+def with_weight_before(values: DataFrame, value: str, weight: str, group: str | None = None) -> DataFrame:
     """Adds ``before``: the weight of all smaller values (of the same group).
 
-    ``values`` holds one row per group and value. Groups must be few and declared (such as column
-    names): their cut points and slice totals are broadcast.
+    ``values`` holds one row per group and value and is read several times. Groups must be few and
+    declared, such as column names: their cuts are literals and their slice totals broadcast.
     """
-    groups = groups or []
-    if groups:
-        cuts = values.groupBy(*groups).agg(_cut_points(F.col(value)).alias("cuts"))
-        placed = values.join(F.broadcast(cuts), groups)
-    else:
-        placed = values.withColumn("cuts", values.agg(_cut_points(F.col(value)).alias("cuts")).scalar())
-    sliced = _with_slice(placed, value)
-
-    running = Window.partitionBy(*groups, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = Window.partitionBy(*groups).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        sliced.groupBy(*groups, "slice").agg(F.sum(weight).alias("slice_weight"))
-        .select(*groups, "slice", F.coalesce(F.sum("slice_weight").over(earlier), F.lit(0)).alias("offset"))
-    )
-    within = sliced.withColumn("inside", F.coalesce(F.sum(weight).over(running), F.lit(0)))
-    return within.join(F.broadcast(offsets), [*groups, "slice"]).select(
-        *values.columns, (F.col("offset") + F.col("inside")).alias("before")
-    )
+    keys = [group] if group else []
+    sliced = with_slice(values, value, group)
+    return _placed(sliced, _offsets(sliced, weight, keys), value, weight, keys).select(*values.columns, "before")
 
 
 def with_rank_descending(rows: DataFrame, value: str, rank: str) -> DataFrame:
@@ -74,31 +89,39 @@ def with_rank_descending(rows: DataFrame, value: str, rank: str) -> DataFrame:
 
 
 def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column and distinct value: column, value, n. Nulls are left out."""
+    """One row per column and distinct value: column, value, n. Nulls are left out.
+
+    Written once, so that the facts behind it are read a single time.
+    """
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    return (
+    counted = (
         rows.select(F.inline(cells)).filter(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
+    return materialized(counted, "value-counts")
 
 
 def quartiles(counts: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation per column: column, total, q1, q3."""
-    totals = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    placed = with_weight_before(counts, "value", "n", ["column"]).join(F.broadcast(totals), "column")
+    """Exact quartiles with linear interpolation per column: column, total, q1, q3.
 
-    def at(position: Column) -> Column:
-        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
-        return F.max(F.when(covers, F.col("value")))
+    Only the few slices that hold a wanted position are put in order.
+    """
+    sliced = with_slice(counts, "value", "column")
+    whole = Window.partitionBy("column")
+    offsets = _offsets(sliced, "n", ["column"]).withColumn("total", F.sum("slice_weight").over(whole))
 
     def place(fraction: float) -> Column:
         return (F.col("total") - 1) * fraction
 
-    picked = placed.groupBy("column").agg(
-        F.max("total").alias("total"),
-        at(F.floor(place(0.25))).alias("low1"), at(F.ceil(place(0.25))).alias("high1"),
-        at(F.floor(place(0.75))).alias("low3"), at(F.ceil(place(0.75))).alias("high3"),
-    )
+    places = {f"{side}{int(f * 4)}": step(place(f)) for f in (0.25, 0.75) for side, step in (("low", F.floor), ("high", F.ceil))}
+    holds = F.exists(F.array(*places.values()), lambda p: (F.col("offset") <= p) & (p < F.col("offset") + F.col("slice_weight")))
+    placed = _placed(sliced, offsets.filter(holds), "value", "n", ["column"])
+
+    def at(position: Column) -> Column:
+        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
+        return F.max(F.when(covers, F.col("value")))
+
+    picked = placed.groupBy("column").agg(F.max("total").alias("total"), *[at(p).alias(name) for name, p in places.items()])
 
     def between(low: str, high: str, fraction: float) -> Column:
         share = place(fraction) - F.floor(place(fraction))
@@ -108,11 +131,8 @@ def quartiles(counts: DataFrame) -> DataFrame:
 
 
 def iqr_outliers(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows outside 1.5 interquartile ranges: column, low, high, n. Needs four values and a non-zero range.
-
-    The facts are read once, into value counts; everything after starts from those.
-    """
-    counts = materialized(value_counts(rows, columns), "value-counts")
+    """Rows outside 1.5 interquartile ranges: column, low, high, n. Needs four values and a non-zero range."""
+    counts = value_counts(rows, columns)
     spread = F.col("q3") - F.col("q1")
     fences = (
         quartiles(counts).filter((F.col("total") >= 4) & (spread != 0))
