@@ -6,6 +6,7 @@ import csv
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,8 +104,13 @@ def _fields_in(record, separator: str):
 
 
 def with_overlong_flag(table: DataFrame, layout: Layout) -> DataFrame:
-    """Replace the malformed text by a flag for rows with more fields than the header; those lose the extra ones."""
-    overlong = F.coalesce(_fields_in(F.col(BROKEN), layout.separator) > len(layout.header), F.lit(False))
+    """Replace the malformed text by a flag for rows with more fields than the header; those lose the extra ones.
+
+    The flag mentions every field: with some of them pruned away the CSV reader would no longer
+    notice that a row has too many.
+    """
+    whole_row = F.length(F.concat_ws("", *[F.col(f"`{c}`") for c in layout.header])) >= 0
+    overlong = F.coalesce((_fields_in(F.col(BROKEN), layout.separator) > len(layout.header)) & whole_row, F.lit(False))
     return table.withColumn("overlong", overlong).drop(BROKEN)
 
 
@@ -123,10 +129,9 @@ def read_delimited(spark: SparkSession, paths: str | list[str], separator: str |
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
-    """Delimited files of a folder by name. Only paths are listed; no content is read."""
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(folder).select("path")
-    wanted = F.lower(F.col("path")).rlike("(" + "|".join(s.replace(".", r"\.") for s in SUFFIXES) + ")$")
-    return sorted(r.path for r in listing.filter(wanted).collect())
+    """Delimited files of a folder by name, empty ones included. Only the listing is read."""
+    listed = spark.read.format("binaryFile").load(folder).inputFiles()
+    return sorted(path for path in map(unquote, listed) if path.lower().endswith(SUFFIXES))
 
 
 def read_folder(spark: SparkSession, folder: str, multiline: bool | None = None, threads: int = 8) -> Batch:
