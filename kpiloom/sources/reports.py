@@ -70,7 +70,7 @@ def metric_columns(spark: SparkSession, path: str) -> str:
     from kpiloom.sources.delimited import layout_of
 
     measures = {"value", "prior_period_value", "period_change", "period_change_pct"}
-    return ", ".join(f"`{c}` {'double' if c in measures else 'string'}" for c in layout_of(spark, f"{path}/*.csv").header)
+    return ", ".join(f"`{c}` {'double' if c in measures else 'string'}" for c in layout_of(spark, path).header)
 
 
 def load_bundle(spark: SparkSession, folder: str, long_schema: str | None = None, wide_schema: str | None = None) -> Bundle:
