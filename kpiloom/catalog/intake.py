@@ -15,6 +15,7 @@ from kpiloom.operators import intake_checks as ic
 from kpiloom.operators import profiling as pr
 from kpiloom.plans import views
 from kpiloom.plans.registry import ColumnRule
+from kpiloom.session import spread_scan
 
 SOURCE = ["source_file"]
 COLS = S.MESSY_COLUMNS
@@ -22,7 +23,7 @@ TEXT = "SELECT " + ", ".join(COLS) + " FROM "
 
 
 def messy(spark, folder) -> DataFrame:
-    return views.messy_orders(spark, folder)
+    return spread_scan(views.messy_orders(spark, folder))
 
 
 def plain_messy(spark, folder) -> DataFrame:

@@ -110,7 +110,8 @@ def standing(long: DataFrame, keys: list[str] | None = None) -> DataFrame:
     if keys:
         return headline.join(_extremes(long, keys), keys, "left")
     extremes = _extremes(long, keys)
-    return headline.withColumns({c: extremes.select(c).scalar() for c in extremes.columns})
+    whole = extremes.select(F.struct(*extremes.columns)).scalar()
+    return headline.withColumn("extremes", whole).select(*headline.columns, "extremes.*")
 
 
 def top_gap_category(long: DataFrame, keys: list[str] | None = None) -> DataFrame:

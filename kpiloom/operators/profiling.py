@@ -33,97 +33,104 @@ def row_counts(cleaned: Cleaned, by: list[str] | None = None) -> DataFrame:
     })
 
 
-def _cell(what: str, column: str) -> Column:
-    return F.col(f"`{what}:{column}`")
-
-
 def _number_meaning(column: str) -> str | None:
     if any(word in column for word in CURRENCY_WORDS):
         return "currency"
     return "power_kw" if tx.is_power_name(column) else None
 
 
-def semantic_type(cleaned: Cleaned, column: str) -> Column:
-    """What the column means, from its kind, its name and counts of ISO dates and currency signs."""
+def _meaning_rule(cleaned: Cleaned, column: str) -> str:
+    """The semantic type where kind and name settle it; otherwise which counts decide."""
     kind = cleaned.kinds[column]
     if kind == "kept":
         declared = dict(cleaned.typed.dtypes)[column]
         kind = "date" if declared == "date" else "double" if declared in ("bigint", "int", "double") else "other"
     if kind == "date":
-        return F.lit("date")
+        return "date"
     if kind in ("bigint", "double"):
-        named = _number_meaning(column)
-        if named:
-            return F.lit(named)
-        return F.when(_cell("signs", column) > 0, "currency").otherwise("numeric")
+        return _number_meaning(column) or "by signs"
     if kind == "other":
-        return F.lit("text")
-    iso, present = _cell("iso", column), _cell("present", column)
-    by_name = F.lit("identifier" if set(column.split("_")) & ID_WORDS else "text")
+        return "text"
+    return "by dates, else identifier" if set(column.split("_")) & ID_WORDS else "by dates, else text"
+
+
+def semantic_type(rule: Column) -> Column:
+    """What a column means, from its rule and counts of ISO dates and currency signs."""
+    iso, present = F.col("iso"), F.col("present")
     mostly = (iso / present >= 0.7) | ((iso >= 3) & (iso > present / 2))
-    return (
-        F.when(present == 0, "text").when(mostly & (iso == present), "date").when(mostly, "date_mixed_invalid").otherwise(by_name)
+    by_dates = (
+        F.when(present == 0, "text").when(mostly & (iso == present), "date").when(mostly, "date_mixed_invalid")
+        .otherwise(F.substring_index(rule, " ", -1))
     )
+    by_signs = F.when(F.coalesce("signs", F.lit(0)) > 0, "currency").otherwise("numeric")
+    return F.when(rule == "by signs", by_signs).when(rule.startswith("by dates"), by_dates).otherwise(rule)
 
 
-def normalized_to_date(cleaned: Cleaned, column: str) -> Column:
-    """Text or datetime that became a date, or text that became uniform ISO text."""
+def _date_rule(cleaned: Cleaned, column: str) -> str:
+    """Whether the column was turned into dates: yes, no, or to be decided by counts."""
     kind = cleaned.kinds[column]
-    if kind == "date":
-        return F.lit(True)
     if kind == "kept":
         source = {v: k for k, v in cleaned.headers.items()}[column]
-        return F.lit(dict(cleaned.raw.dtypes)[source].startswith("timestamp") and dict(cleaned.typed.dtypes)[column] == "date")
-    if kind not in ("iso_text", "text"):
-        return F.lit(False)
-    uniform = (_cell("present", column) > 0) & (_cell("iso", column) == _cell("present", column))
-    was_uniform = (_cell("raw_present", column) > 0) & (_cell("raw_iso", column) == _cell("raw_present", column))
-    return uniform & ~was_uniform
+        stamp = dict(cleaned.raw.dtypes)[source].startswith("timestamp") and dict(cleaned.typed.dtypes)[column] == "date"
+        return "yes" if stamp else "no"
+    return {"date": "yes", "iso_text": "by dates", "text": "by dates"}.get(kind, "no")
+
+
+def normalized_to_date(rule: Column) -> Column:
+    """Text or datetime that became a date, or text that became uniform ISO text."""
+    uniform = (F.col("present") > 0) & (F.col("iso") == F.col("present"))
+    was_uniform = F.coalesce((F.col("raw_present") > 0) & (F.col("raw_iso") == F.col("raw_present")), F.lit(False))
+    return F.when(rule == "by dates", uniform & ~was_uniform).otherwise(rule == "yes")
+
+
+def _per_column(df: DataFrame, by: list[str], columns: list[str], measures: dict) -> DataFrame:
+    """Counts of many columns from one aggregate, turned to one row per column."""
+    wide = [expr(c).alias(f"{name}:{c}") for c in columns for name, expr in measures.items()]
+    rows = F.array(*[
+        F.struct(F.lit(c).alias("column"), *[F.col(f"`{name}:{c}`").alias(name) for name in measures]) for c in columns
+    ])
+    return df.groupBy(*by).agg(*wide).select(*by, F.inline(rows))
 
 
 def column_profile(cleaned: Cleaned, by: list[str] | None = None) -> DataFrame:
     """One row per column: type, nulls, semantic type, and what cleaning changed.
 
-    Counts of the cleaned side come from the distinct rows; counts of the raw side from the raw text.
-    Each is one aggregate for all columns.
+    Counts of the cleaned side come from the distinct rows, counts of the raw side from the raw text;
+    each is one aggregate for all columns, and the two meet per column (and file).
     """
     by = by or []
     source = {clean: raw for raw, clean in cleaned.headers.items()}
-    raw_types, columns = dict(cleaned.raw.dtypes), list(cleaned.kinds)
-    was_text = {c for c in columns if raw_types[source[c]] == "string"}
-    is_text = {c for c in columns if dict(cleaned.typed.dtypes)[c] == "string"}
-
-    clean_side = [F.count(F.lit(1)).alias("rows")]
-    raw_side: list[Column] = [F.count(F.lit(1)).alias("rows_loaded")]
-    for c in columns:
-        clean_side.append(F.count(F.col(c)).alias(f"present:{c}"))
-        if c in is_text:
-            clean_side.append(F.count_if(is_iso_date(F.col(c))).alias(f"iso:{c}"))
-        if c in was_text:
-            before = F.col(f"`{source[c]}`")
-            signs = F.btrim(before, F.lit(tx.UNICODE_SPACES)).rlike(f"^[{tx.CURRENCY_SIGNS}]")
-            raw_side += [F.count(before).alias(f"raw_present:{c}"), F.count_if(is_iso_date(before)).alias(f"raw_iso:{c}"),
-                         F.count_if(signs).alias(f"signs:{c}")]
-
-    after = cleaned.table.groupBy(*by).agg(*clean_side)
-    before_counts = cleaned.raw.groupBy(*by).agg(*raw_side)
-    stats = after.join(before_counts, by) if by else after.withColumns({
-        name: before_counts.select(F.col(f"`{name}`")).scalar() for name in before_counts.columns
-    })
-    for c in columns:
-        absent = {f"iso:{c}": c in is_text, f"raw_present:{c}": c in was_text, f"raw_iso:{c}": c in was_text, f"signs:{c}": c in was_text}
-        stats = stats.withColumns({name: F.lit(0) for name, there in absent.items() if not there})
+    raw_types, typed = dict(cleaned.raw.dtypes), dict(cleaned.typed.dtypes)
+    columns = list(cleaned.kinds)
+    was_text = [c for c in columns if raw_types[source[c]] == "string"]
 
-    rows = F.array(*[
-        F.struct(
-            F.lit(c).alias("column"), F.lit(type_name(cleaned, c)).alias("inferred_type"),
-            (F.col("rows") - _cell("present", c)).alias("null_count"),
-            semantic_type(cleaned, c).alias("semantic_type"),
-            F.lit(c in was_text and cleaned.kinds[c] in ("bigint", "double") and c not in cleaned.already_numeric).alias("number_from_text"),
-            normalized_to_date(cleaned, c).alias("date_from_text"),
-        ) for c in columns
-    ])
-    return stats.select(*by, F.inline(rows))
+    def before(c: str) -> Column:
+        return F.col(f"`{source[c]}`")
+
+    after = _per_column(cleaned.table, by, columns, {
+        "nulls": lambda c: F.count_if(F.col(c).isNull()), "present": lambda c: F.count(F.col(c)),
+        "iso": lambda c: F.count_if(is_iso_date(F.col(c))) if typed[c] == "string" else F.lit(0).cast("bigint"),
+    })
+    if was_text:
+        raw_side = _per_column(cleaned.raw, by, was_text, {
+            "raw_present": lambda c: F.count(before(c)), "raw_iso": lambda c: F.count_if(is_iso_date(before(c))),
+            "signs": lambda c: F.count_if(F.btrim(before(c), F.lit(tx.UNICODE_SPACES)).rlike(f"^[{tx.CURRENCY_SIGNS}]")),
+        })
+        after = after.join(raw_side, [*by, "column"], "left")
+    else:
+        after = after.withColumns({c: F.lit(None).cast("bigint") for c in ("raw_present", "raw_iso", "signs")})
+
+    def known(answer) -> Column:
+        return F.create_map(*[F.lit(x) for c in columns for x in (c, answer(c))])[F.col("column")]
+
+    def from_text(c: str) -> bool:
+        return c in was_text and cleaned.kinds[c] in ("bigint", "double") and c not in cleaned.already_numeric
+
+    return after.select(
+        *by, "column", known(lambda c: type_name(cleaned, c)).alias("inferred_type"), F.col("nulls").alias("null_count"),
+        semantic_type(known(lambda c: _meaning_rule(cleaned, c))).alias("semantic_type"), known(from_text).alias("number_from_text"),
+        normalized_to_date(known(lambda c: _date_rule(cleaned, c))).alias("date_from_text"),
+    )
 
 
 def renamed_headers(cleaned: Cleaned) -> dict[str, str]:
@@ -147,8 +154,9 @@ def profile_report(cleaned: Cleaned) -> DataFrame:
         flagged("date_from_text").alias("date_columns_normalized"),
     )
     renamed = [F.lit(x) for pair in renamed_headers(cleaned).items() for x in pair]
-    counts = row_counts(cleaned)
-    return nested.withColumns(
-        {"columns_renamed": F.create_map(*renamed)}
-        | {n: counts.select(n).scalar() for n in ("rows_loaded", "rows_output", "duplicates_removed")}
+    names = ("rows_loaded", "rows_output", "duplicates_removed")
+    counts = row_counts(cleaned).select(F.struct(*names).alias("counts"))
+    return (
+        nested.withColumn("columns_renamed", F.create_map(*renamed)).withColumn("counts", counts.scalar())
+        .select("*", *[F.col(f"counts.{n}") for n in names]).drop("counts")
     )

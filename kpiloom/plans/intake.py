@@ -11,6 +11,7 @@ from kpiloom.operators import findings as fnd
 from kpiloom.operators.cleaning import Cleaned, clean, rename_by_rule, select_output
 from kpiloom.operators.intake_checks import STATUSES, batch_totals, data_findings, file_statuses, name_findings, table_counts
 from kpiloom.plans.registry import IntakeConfig
+from kpiloom.session import spread_scan
 from kpiloom.sources.delimited import SOURCE_FILE, read_folder
 from kpiloom.sources.sinks import load_table, write_csv, write_parquet
 
@@ -23,9 +24,12 @@ class Intake:
     status: DataFrame
 
 
-def prepare(raw: DataFrame, config: IntakeConfig) -> Intake:
-    """Clean one table, rename by rule, check all its columns, choose the output columns."""
-    cleaned = clean(raw)
+def prepare(raw: DataFrame, config: IntakeConfig, scanned: bool = False) -> Intake:
+    """Clean one table, rename by rule, check all its columns, choose the output columns.
+
+    ``scanned`` says that the table comes straight from files.
+    """
+    cleaned = clean(spread_scan(raw) if scanned else raw)
     typed = rename_by_rule(cleaned.typed, config.columns)
     names = name_findings(raw.columns, typed.columns, config.required_columns)
     found = fnd.known(raw.sparkSession, names).unionByName(
@@ -60,7 +64,7 @@ def run_folder(spark: SparkSession, folder: str, config: IntakeConfig, multiline
     by, tables, files, found = [SOURCE_FILE], [], [], []
     for layout, raw in batch.tables.items():
         overlong = raw.groupBy(*by).agg(F.max(F.col("overlong").cast("int")).cast("bigint").alias("load_warnings"))
-        raw = raw.drop("overlong")
+        raw = spread_scan(raw.drop("overlong"))
         cleaned = clean(raw, keep=by)
         typed = rename_by_rule(cleaned.typed, config.columns)
         missing = [c for c in config.select_columns if c not in typed.columns]
