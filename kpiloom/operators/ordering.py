@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.session import materialized
+from kpiloom.session import materialized, spread_scan
 
 BRANCHES = 16
 SLICES = BRANCHES * BRANCHES
@@ -31,10 +31,11 @@ def _below(cuts: Column, value: Column) -> Column:
 def with_slice(values: DataFrame, value: str, group: str | None = None) -> DataFrame:
     """Adds ``slice``, the number of cuts below the value: every sixteenth cut is tried first, then those between."""
     cuts = {g: c for g, c in _cut_points(values, value, group).items() if c}
-    kind = values.schema[value].dataType
+    kind = values.schema[value].dataType.simpleString()
 
     def literal(points: list) -> Column:
-        return F.array(*[F.lit(p).cast(kind) for p in points])
+        texts = ", ".join(f"'{p}'" for p in points)  # one expression text; hundreds of single literals are slow to build
+        return F.expr(f"cast(array({texts}) as array<{kind}>)")
 
     def chosen(pick) -> Column:
         if group is None:
@@ -98,7 +99,7 @@ def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
         rows.select(F.inline(cells)).filter(F.col("value").isNotNull())
         .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
     )
-    return materialized(counted, "value-counts")
+    return spread_scan(materialized(counted, "value-counts"))
 
 
 def quartiles(counts: DataFrame) -> DataFrame:
