@@ -7,17 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import exact_dedup, mixing, sharding
+from kpiloom.llm import exact_dedup, mixing, packing, sharding, wavelet
 from kpiloom.session import scratch_path
 
 SHARDS = 8
 SEED = 20240601
+#: Tokens of a packed sequence.
+SEQUENCE = 2048
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_shards(spark: SparkSession, folder: str) -> DataFrame:
     text = F.coalesce("text", F.lit("")).cast("binary")
     rows = table(spark, folder, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
@@ -31,6 +40,16 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "rate", "copies")
 
 
+def op6_wavelet(spark: SparkSession, folder: str) -> DataFrame:
+    shards = wavelet.write_shards(table(spark, folder, "documents"), scratch_path(spark, "wavelet"), vocabulary("byte_bpe_50k.json"), "<|endoftext|>", True, end_id=2)
+    return wavelet.read_documents(shards)
+
+
+def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
+    rows = packing.pieces(table(spark, folder, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"), "<|startoftext|>", False, end_id=0, length=SEQUENCE)
+    return packing.packed(rows, SEQUENCE)
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "digests")
     index = exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path)
@@ -41,6 +60,8 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_mix": op2_mix,
+    "op6_wavelet": op6_wavelet,
+    "op8_pack": op8_pack,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
