@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import exact_dedup, mixing, packing, sharding, wavelet
+from kpiloom.llm import exact_dedup, mixing, packing, sharding, toxicity, wavelet
 from kpiloom.session import scratch_path
 
 SHARDS = 8
@@ -40,6 +40,16 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "rate", "copies")
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, folder: str) -> toxicity.SeverityModel:
+    grades = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("grade"))
+    return toxicity.fit(docs, grades, graded_by_count=True)
+
+
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.scored(docs, toxicity_model(spark, docs, folder)).select("doc_id", "severity", "toxicity", "toxic")
+
+
 def op6_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     shards = wavelet.write_shards(table(spark, folder, "documents"), scratch_path(spark, "wavelet"), vocabulary("byte_bpe_50k.json"), "<|endoftext|>", True, end_id=2)
     return wavelet.read_documents(shards)
@@ -60,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_mix": op2_mix,
+    "op4_toxicity": op4_toxicity,
     "op6_wavelet": op6_wavelet,
     "op8_pack": op8_pack,
     "op10_exact_dedup": op10_exact_dedup,
