@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import exact_dedup, mixing, packing, sharding, toxicity, wavelet
+from kpiloom.llm import ann, exact_dedup, mixing, near_dup, packing, sharding, toxicity, wavelet
 from kpiloom.session import scratch_path
 
 SHARDS = 8
@@ -50,6 +50,10 @@ def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, toxicity_model(spark, docs, folder)).select("doc_id", "severity", "toxicity", "toxic")
 
 
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op6_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     shards = wavelet.write_shards(table(spark, folder, "documents"), scratch_path(spark, "wavelet"), vocabulary("byte_bpe_50k.json"), "<|endoftext|>", True, end_id=2)
     return wavelet.read_documents(shards)
@@ -60,6 +64,11 @@ def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(rows, SEQUENCE)
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    index, centre, size = ann.build(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    return ann.search(index, index.where(F.col("vec_id") % 100 == 0), centre, size, k=10)
+
+
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "digests")
     index = exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path)
@@ -71,12 +80,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_mix": op2_mix,
     "op4_toxicity": op4_toxicity,
+    "op5_near_duplicates": op5_near_duplicates,
     "op6_wavelet": op6_wavelet,
     "op8_pack": op8_pack,
+    "op9_neighbours": op9_neighbours,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_neighbours": """
+        WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+        d AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
