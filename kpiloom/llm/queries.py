@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import ann, exact_dedup, mixing, near_dup, packing, sharding, toxicity, wavelet
+from kpiloom.llm import ann, exact_dedup, html_extract, langid, mixing, near_dup, packing, sharding, toxicity, wavelet
 from kpiloom.session import scratch_path
 
 SHARDS = 8
@@ -40,6 +40,11 @@ def op2_mix(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "source", "rate", "copies")
 
 
+def op3_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extract.extracted(pages, html_extract.default_model())
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, folder: str) -> toxicity.SeverityModel:
     grades = table(spark, folder, "labels").select("doc_id", F.col("toxic").alias("grade"))
     return toxicity.fit(docs, grades, graded_by_count=True)
@@ -59,6 +64,13 @@ def op6_wavelet(spark: SparkSession, folder: str) -> DataFrame:
     return wavelet.read_documents(shards)
 
 
+def op7_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    network = langid.fit(docs.select("doc_id", "text", "lang"))
+    rows = docs.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "text")
+    return langid.identified(rows, network)
+
+
 def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     rows = packing.pieces(table(spark, folder, "documents").select("doc_id", "text"), vocabulary("word_bpe_49k.json"), "<|startoftext|>", False, end_id=0, length=SEQUENCE)
     return packing.packed(rows, SEQUENCE)
@@ -79,9 +91,11 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_mix": op2_mix,
+    "op3_main_text": op3_main_text,
     "op4_toxicity": op4_toxicity,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_wavelet": op6_wavelet,
+    "op7_language": op7_language,
     "op8_pack": op8_pack,
     "op9_neighbours": op9_neighbours,
     "op10_exact_dedup": op10_exact_dedup,
