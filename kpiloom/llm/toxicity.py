@@ -23,7 +23,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -73,6 +73,11 @@ def _counts(text: str | None, known) -> Counter:
     return found
 
 
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, int]]:
+    for batch in batches:
+        yield from zip(batch.column("text").to_pylist(), batch.column("grade").to_pylist(), strict=True)
+
+
 def sample(docs: DataFrame, grades: DataFrame) -> DataFrame:
     """Bounded sample of graded documents: text, grade. grades: doc_id, grade."""
     graded = grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
@@ -94,18 +99,14 @@ def fit(docs: DataFrame, grades: DataFrame, graded_by_count: bool = False) -> Se
     if len(totals) < 2:
         return SeverityModel()
 
-    def document_counts(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bad, good = Counter(), Counter()
-        for frame in frames:
-            for text, grade in zip(frame["text"], frame["grade"], strict=True):
-                (bad if grade > 0 else good).update({f for w in set(words(text)) for f in features(w)})
-        known = list(bad)
-        yield pd.DataFrame({"feature": known, "bad": [bad[f] for f in known], "good": [good[f] for f in known]})
-        # features of clean documents matter only where some other task has them in a toxic one
-        rest = [f for f in good if f not in bad]
-        yield pd.DataFrame({"feature": rest, "bad": [0] * len(rest), "good": [good[f] for f in rest]})
-
-    counted = learned.mapInPandas(document_counts, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+        for text, grade in _rows(batches):
+            (bad if grade > 0 else good).update({f for w in set(words(text)) for f in features(w)})
+        known = list(bad.keys() | good.keys())
+        yield pa.RecordBatch.from_pydict({"feature": pa.array(known, pa.string()), "bad": pa.array([bad[f] for f in known], pa.int64()), "good": pa.array([good[f] for f in known], pa.int64())})
+
+    counted = learned.mapInArrow(document_counts, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     bad, good = F.col("bad"), F.col("good")
     other_bad, other_good = F.lit(totals[True]) - bad, F.lit(totals[False]) - good
     odds = F.log((bad + 0.5) / (other_bad + 0.5)) - F.log((good + 0.5) / (other_good + 0.5))
@@ -113,25 +114,26 @@ def fit(docs: DataFrame, grades: DataFrame, graded_by_count: bool = False) -> Se
     ranked = counted.where(bad >= LEAST_DOCUMENTS).withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
     typical = {r["feature"] for r in ranked.select("feature").collect()}
 
-    def neighbours(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            rows = set()
-            for text, grade in zip(frame["text"], frame["grade"], strict=True):
-                if grade > 0:
-                    own = ["", *words(text), ""]
-                    rows |= {(f, own[i - 1] + " " + own[i + 1]) for i in range(1, len(own) - 1) for f in features(own[i]) if f in typical}
-            yield pd.DataFrame(sorted(rows), columns=["feature", "context"])
+    def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = set()
+        for text, grade in _rows(batches):
+            if grade > 0:
+                own = ["", *words(text), ""]
+                rows |= {(f, own[i - 1] + " " + own[i + 1]) for i in range(1, len(own) - 1) for f in features(own[i]) if f in typical}
+        yield pa.RecordBatch.from_pydict({"feature": pa.array([r[0] for r in rows], pa.string()), "context": pa.array([r[1] for r in rows], pa.string())})
 
-    spread = learned.mapInPandas(neighbours, "feature string, context string").distinct().groupBy("feature").count().where(F.col("count") >= LEAST_CONTEXTS)
+    spread = learned.mapInArrow(neighbours, "feature string, context string").distinct().groupBy("feature").count().where(F.col("count") >= LEAST_CONTEXTS)
     known = {r["feature"]: i for i, r in enumerate(spread.orderBy("feature").collect())}
 
-    def found(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            counts = [_counts(t, known) for t in frame["text"]]
-            occurrences = [sum(n for w, n in Counter(words(t)).items() if any(f in known for f in features(w))) if c else 0 for t, c in zip(frame["text"], counts, strict=True)]
-            yield pd.DataFrame({"grade": frame["grade"], "at": [[known[f] for f in c] for c in counts], "n": [[float(np.log2(1 + v)) for v in c.values()] for c in counts], "occurrences": occurrences})
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for text, grade in _rows(batches):
+            counts = _counts(text, known)
+            occurrences = sum(n for w, n in Counter(words(text)).items() if any(f in known for f in features(w))) if counts else 0
+            yield pa.RecordBatch.from_pydict({
+                "grade": pa.array([grade], pa.int32()), "at": pa.array([[known[f] for f in counts]], pa.list_(pa.int32())),
+                "n": pa.array([[float(np.log2(1 + v)) for v in counts.values()]], pa.list_(pa.float64())), "occurrences": pa.array([occurrences], pa.int64())})
 
-    rows = learned.mapInPandas(found, "grade int, at array<int>, n array<double>, occurrences long").collect()
+    rows = learned.mapInArrow(found, "grade int, at array<int>, n array<double>, occurrences long").collect()
     rows.sort(key=lambda r: (r["grade"], r["at"], r["n"]))
     level = np.array([r["grade"] for r in rows])
     if graded_by_count:
@@ -183,9 +185,12 @@ def scored(docs: DataFrame, model: SeverityModel, limit: float = 0.5) -> DataFra
     made = ("severity", "toxicity", "toxic")
     kept = [c for c in docs.columns if c not in made]
 
-    @F.pandas_udf("severity double, toxicity double")
-    def grade(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([model.severity(t) for t in text], columns=["severity", "toxicity"])
+    rows = docs.select(*kept, F.col("text").alias("__text"))
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "__text"), "severity double, toxicity double"])
+
+    def grade(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [model.severity(t) for t in batch.column("__text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64())], [*kept, "severity", "toxicity"])
 
-    return docs.select(*kept, grade(F.col("text")).alias("__grade")).select(
-        *kept, F.col("__grade.severity").alias("severity"), F.col("__grade.toxicity").alias("toxicity"), (F.col("__grade.toxicity") >= limit).alias("toxic"))
+    return rows.mapInArrow(grade, schema).withColumn("toxic", F.col("toxicity") >= limit)
