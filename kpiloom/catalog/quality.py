@@ -8,7 +8,7 @@ from kpiloom.catalog import sql as S
 from kpiloom.catalog.registrar import query
 from kpiloom.operators import metric_checks as mc
 from kpiloom.operators import sets
-from kpiloom.operators.ordering import iqr_outliers, quartiles, value_counts
+from kpiloom.operators.ordering import iqr_outliers, quartiles
 from kpiloom.operators.schema import Normalized, normalize
 from kpiloom.plans import views
 from kpiloom.plans.metrics import published_long
@@ -117,7 +117,8 @@ def outliers(spark, folder):
 @query("MVL10_quartiles", f"{_FLAWED}, q AS (SELECT {_QUARTILES} FROM flawed) " + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count({c}) AS total, round_even(any_value({c}_q1), 4) AS q1, round_even(any_value({c}_q3), 4) AS q3 FROM flawed, q" for c in AMOUNTS))
 def exact_quartiles(spark, folder):
-    table = quartiles(value_counts(flawed(spark, folder), AMOUNTS))
+    found = quartiles(flawed(spark, folder), AMOUNTS)
+    table = spark.createDataFrame([(c, *values) for c, values in found.items()], "column string, total bigint, q1 double, q3 double")
     return table.withColumns({c: F.rint(F.col(c) * 10000) / 10000 for c in ("q1", "q3")})
 
 

@@ -90,13 +90,8 @@ def resolved_table(spark, folder):
 @query("JN5", f"WITH {ANSWERS}, {MAP} SELECT requirement_id, client_name, {_ANSWER} AS answer FROM answers, map")
 def map_joined(spark, folder):
     """Each requirement of each client with its raw answer; unasked fields have none."""
-    answers = views.answers(spark, folder)
     requirements = rq.requirement_map(spark, REQUIREMENT_ROWS)
-    cells = rq.unpivot_answers(answers, ["client_name"])
-    unnamed = answers.select("client_name", F.lit(rq.NO_FIELD).alias("field"), F.lit(None).cast("string").alias("answer"))
-    wanted = F.trim(F.coalesce("intake_field", F.lit("")))
-    keyed = requirements.select("requirement_id", F.when(wanted.isin(answers.columns), wanted).otherwise(rq.NO_FIELD).alias("field"))
-    return cells.unionByName(unnamed).join(keyed, "field").select("requirement_id", "client_name", "answer")
+    return rq.with_answers(views.answers(spark, folder), ["client_name"], requirements).select("requirement_id", "client_name", "answer")
 
 
 @query("RSH7", f"""WITH {ANSWERS} SELECT client_name, field, answer FROM (SELECT client_name, unnest(['assessment_date', 'project_id', 'preferred_markets', 'decision_makers_identified',

@@ -83,13 +83,42 @@ def ranked(spark, folder):
     return sa.ranked_customers(orders(spark, folder))
 
 
-# The building blocks of the analyses under their own names, on other attributes than above.
-query("AGG12", SQL6)(behaviour)
-query("AGG13", SQL1)(totals)
-query("AGG14", SQL2)(by_month)
-query("AGG15", SQL8)(by_discount)
-query("AGG16", SQL9)(repeat_or_not)
-query("LIM1", SQL4)(top_products)
+# The building blocks of the analyses, on other columns than above.
+@query("AGG12", WITH + f"SELECT product_id AS customer_id, count(DISTINCT order_id) AS total_orders, {S.cents('sum(sales)')} AS total_spent, "
+       f"{S.money('sum(sales)::DOUBLE / count(DISTINCT order_id)')} AS avg_order_value FROM sales GROUP BY product_id")
+def product_behaviour(spark, folder):
+    return sa.customer_behaviour(orders(spark, folder).withColumn("customer_id", F.col("product_id")))
+
+
+@query("AGG13", WITH + f"SELECT {S.cents('sum(sales)')} AS total_revenue, {S.cents('sum(sales)')} AS total_profit, 100.0::DOUBLE AS profit_margin_pct FROM sales WHERE discount > 0")
+def discounted_totals(spark, folder):
+    """With the revenue in the place of the profit, the margin is all of it."""
+    return sa.revenue_totals(orders(spark, folder).where("discount > 0").withColumn("profit", F.col("sales")))
+
+
+@query("AGG14", WITH + f"SELECT date_trunc('month', ship_date)::DATE AS month, {S.cents('sum(sales)')} AS monthly_revenue, {S.cents('sum(profit)')} AS monthly_profit FROM sales GROUP BY 1")
+def by_shipping_month(spark, folder):
+    return sa.monthly_trend(orders(spark, folder).withColumn("order_date", F.col("ship_date")))
+
+
+@query("AGG15", WITH + f"SELECT CASE WHEN discount = 0 THEN 'No Discount' WHEN discount <= 0.2 THEN 'Low Discount' WHEN discount <= 0.4 THEN 'Medium Discount' ELSE 'High Discount' END AS discount_bucket, "
+       f"count(*) AS order_count, {S.money('sum(sales)::DOUBLE / count(sales)')} AS avg_profit FROM (SELECT sales, discount * 5 AS discount FROM sales) GROUP BY 1")
+def by_larger_discount(spark, folder):
+    """Discounts five times as large reach every bucket."""
+    return sa.discount_impact(orders(spark, folder).select("sales", F.col("sales").alias("profit"), (F.col("discount") * 5).alias("discount")))
+
+
+@query("AGG16", WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat Customer' END AS customer_type, count(*) AS number_of_customers "
+       "FROM (SELECT product_id, count(DISTINCT order_id) AS n FROM sales WHERE quantity > 48 GROUP BY product_id) GROUP BY 1")
+def products_bought_again(spark, folder):
+    return sa.repeat_customers(orders(spark, folder).where("quantity > 48").withColumn("customer_id", F.col("product_id")))
+
+
+@query("LIM1", WITH + f"SELECT ship_mode AS product_name, {S.cents('sum(sales)')} AS total_sales FROM sales GROUP BY 1 ORDER BY total_sales DESC, product_name LIMIT 2")
+def top_shipping(spark, folder):
+    modes = orders(spark, folder).select(F.col("ship_mode").alias("product_id"), "sales", "profit")
+    names = modes.select("product_id", F.col("product_id").alias("product_name")).distinct()
+    return sa.top_products(modes, names, 2)
 
 
 @query("JN3", SQL3.replace("SELECT category", "SELECT sub_category").replace("GROUP BY category", "GROUP BY sub_category"))

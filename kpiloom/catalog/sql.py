@@ -56,8 +56,8 @@ raw AS (
 
 
 def money(expr: str) -> str:
-    """Two decimals, half away from zero on the decimal value."""
-    return f"round(({expr})::DECIMAL(24,6), 2)::DOUBLE"
+    """Two decimals of a quotient of amounts in cents, half away from zero; the doubles miss a half by far less than 1e-9."""
+    return f"round({expr} + sign({expr}) * 1e-9, 2)"
 
 
 def cents(expr: str) -> str:

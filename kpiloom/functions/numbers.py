@@ -14,9 +14,16 @@ def round_even(c: Column, decimals: int) -> Column:
     return F.rint(c * power) / power if decimals else F.rint(c)
 
 
-def money_round(c: Column) -> Column:
-    """Two decimals, half away from zero, decided on the decimal value; returned as double."""
-    return F.round(c.cast("decimal(24,6)"), 2).cast("double")
+def ratio_in_cents(part: Column, whole: Column, scale: int, times: int = 1) -> Column:
+    """part / whole * times to two decimals, half away from zero, rounded once; null over zero.
+
+    Both are decimals of at most ``scale`` decimals. The division is one of whole numbers, so no digit is lost before it.
+    """
+    a = F.abs(part.cast("decimal(38,6)") * 10**scale).cast("decimal(28,0)") * (200 * times)
+    b = F.abs(whole.cast("decimal(38,6)") * 10**scale).cast("decimal(28,0)")
+    cents = F.call_function("div", a.cast("decimal(38,0)") + b, F.nullif((b * 2).cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")))
+    amount = (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("double")
+    return amount * F.signum(part.cast("double")) * F.signum(whole.cast("double"))
 
 
 def _plain(c: Column) -> Column:
@@ -33,12 +40,20 @@ def general(c: Column) -> Column:
     return F.when(c == 0, "0").when(exponent.between(-4, 5), shortened).otherwise(mantissa)
 
 
+def _tiny(value: Column) -> Column:
+    """Shortest digits with an exponent of two places, for numbers nearer to zero than 0.0001."""
+    shortest = value.cast("string")
+    digits = F.regexp_replace(F.substring_index(shortest, "E", 1), r"\.0$", "")
+    return F.concat(digits, F.lit("e-"), F.lpad(F.substring_index(shortest, "E-", -1), 2, "0"))
+
+
 def display_value(value: Column, unit: Column) -> Column:
     """Report text: dollars with cents, percent in short form, otherwise digits with commas."""
     text = (
         F.when(unit == "USD", F.concat(F.lit("$"), F.format_number(value, 2)))
         .when(unit == "%", F.concat(general(value), F.lit("%")))
         .when(value == F.rint(value), F.format_number(value, 0))
+        .when(F.abs(value) < 1e-4, _tiny(value))
         .otherwise(F.call_function("format_number", value, F.lit("#,##0.0################")))
     )
     return F.when(value.isNull() | F.isnan(value), "").otherwise(text)

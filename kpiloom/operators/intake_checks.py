@@ -99,10 +99,14 @@ def data_findings(
     null_threshold: float = 0.3,
     duplicate_threshold: float = 0.3,
     rules: dict[str, ColumnRule] | None = None,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
-    """Findings from counts: empty input, duplicates, null rates, leftover dates, column rules."""
+    """Findings from counts: empty input, duplicates, null rates, leftover dates, column rules.
+
+    ``counts``: the result of table_counts() for this table, where it is already at hand.
+    """
     by = by or []
-    counts = table_counts(table, by)
+    counts = counts if counts is not None else table_counts(table, by)
     columns = [c for c in table.columns if c not in by]
     loaded, kept = F.col("rows_loaded"), F.col("rows_output")
     duplicates = loaded - kept

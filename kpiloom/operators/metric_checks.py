@@ -85,16 +85,19 @@ def shared_keys(facts: DataFrame, registry: Registry) -> DataFrame:
     rollups = registry.usable_rollups(facts.columns)
     segments = sorted({s for r in rollups for s in r})
     fine = facts.groupBy("date", *segments).agg(F.count(F.lit(1)).alias("rows"))
+    if not rollups:
+        return facts.sparkSession.createDataFrame([], "rollup_level string, n bigint")
     if not segments:
         return fine.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias("n")).select(F.lit(rollup_label(())).alias("rollup_level"), "n")
-    grouped = fine.groupingSets([[F.col("date"), *[F.col(s) for s in r]] for r in rollups], "date", *segments).agg(
+    sets = {frozenset(r): r for r in rollups}
+    grouped = fine.groupingSets([[F.col("date"), *[F.col(s) for s in r]] for r in sets.values()], "date", *segments).agg(
         F.sum("rows").alias("rows"), F.grouping_id().alias("gid")
     )
     width = len(segments)
-    gids = {sum(1 << (width - 1 - i) for i, s in enumerate(segments) if s not in r): rollup_label(r) for r in rollups}
-    labels = F.create_map(*[F.lit(x) for pair in gids.items() for x in pair])
+    gids = {used: sum(1 << (width - 1 - i) for i, s in enumerate(segments) if s not in used) for used in sets}
+    labels = F.create_map(*[x for used, gid in gids.items() for x in (F.lit(gid), F.array(*[F.lit(rollup_label(r)) for r in rollups if frozenset(r) == used]))])
     return grouped.groupBy("gid").agg(F.sum(F.col("rows") - 1).alias("n")).select(
-        labels[F.col("gid").cast("int")].alias("rollup_level"), "n"
+        F.explode(labels[F.col("gid").cast("int")]).alias("rollup_level"), "n"
     )
 
 

@@ -1,146 +1,112 @@
-"""Ranks and quantiles over any number of rows without one task seeing them all.
-
-Values are first reduced to (value, weight). Approximate quantiles of those values cut the line into
-slices of similar size; each slice is summed on its own and shifted by the total of the slices before
-it. The cuts, a fixed number per group, are fetched once and used as literals, so every part of a plan
-agrees on them; they steer balance only, and results are exact wherever they fall.
-"""
+"""Exact ranks and quartiles over any number of rows without one task seeing them all."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiloom.session import materialized, spread_scan
-
-BRANCHES = 16
-SLICES = BRANCHES * BRANCHES
-
-
-def _cut_points(values: DataFrame, value: str, group: str | None) -> dict:
-    """Per group (None without one) the ascending cuts; a fixed number of values reaches the driver."""
-    wanted = F.percentile_approx(value, [i / SLICES for i in range(1, SLICES)], 20 * SLICES).alias("cuts")
-    rows = (values.groupBy(group) if group else values.groupBy()).agg(wanted).collect()
-    return {(r[group] if group else None): sorted(r["cuts"] or []) for r in rows}
-
-
-def _below(cuts: Column, value: Column) -> Column:
-    return F.size(F.filter(cuts, lambda cut: cut < value))
-
-
-def with_slice(values: DataFrame, value: str, group: str | None = None) -> DataFrame:
-    """Adds ``slice``, the number of cuts below the value: every sixteenth cut is tried first, then those between."""
-    cuts = {g: c for g, c in _cut_points(values, value, group).items() if c}
-    kind = values.schema[value].dataType.simpleString()
-
-    def literal(points: list) -> Column:
-        texts = ", ".join(f"'{p}'" for p in points)  # one expression text; hundreds of single literals are slow to build
-        return F.expr(f"cast(array({texts}) as array<{kind}>)")
-
-    def chosen(pick) -> Column:
-        if group is None:
-            return literal(pick(next(iter(cuts.values()), [])))
-        table = F.create_map(*[x for g, points in cuts.items() for x in (F.lit(g), literal(pick(points)))])
-        return table[F.col(group)]
-
-    if not cuts:
-        return values.withColumn("slice", F.lit(0))
-    coarse = _below(chosen(lambda points: points[BRANCHES - 1 :: BRANCHES]), F.col(value))
-    between = F.slice(chosen(lambda points: points), F.col("coarse") * BRANCHES + 1, F.lit(BRANCHES - 1))
-    fine = F.col("coarse") * BRANCHES + _below(between, F.col(value))
-    return values.withColumn("coarse", coarse).withColumn("slice", fine).drop("coarse")
+from kpiloom.session import materialized
 
+#: Approximate quantiles err by this share of the rows at most; a bracket is four of them wide.
+RANK_ERROR = 1 / 20_000
+FRACTIONS = (0.25, 0.75)
 
-def _offsets(sliced: DataFrame, weight: str, keys: list[str]) -> DataFrame:
-    """Per slice its weight and that of the slices before it. At most SLICES rows per group, ordered in one place."""
-    earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    totals = sliced.groupBy(*keys, "slice").agg(F.sum(weight).alias("slice_weight"))
-    return totals.withColumn("offset", F.coalesce(F.sum("slice_weight").over(earlier), F.lit(0)))
 
+def with_weight_before(values: DataFrame, value: str, weight: str) -> DataFrame:
+    """Adds ``before``: the weight of all smaller values. ``values`` holds one row per value.
 
-def _placed(sliced: DataFrame, offsets: DataFrame, value: str, weight: str, keys: list[str]) -> DataFrame:
-    """Adds ``before``, for the slices that ``offsets`` lists."""
-    running = Window.partitionBy(*keys, "slice").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return sliced.join(F.broadcast(offsets), [*keys, "slice"]).withColumn(
-        "before", F.col("offset") + F.coalesce(F.sum(weight).over(running), F.lit(0))
-    )
-
-
-def with_weight_before(values: DataFrame, value: str, weight: str, group: str | None = None) -> DataFrame:
-    """Adds ``before``: the weight of all smaller values (of the same group).
-
-    ``values`` holds one row per group and value and is read several times. Groups must be few and
-    declared, such as column names: their cuts are literals and their slice totals broadcast.
+    Values are dealt to partitions by range, which are written down with their number; each is summed on its own and
+    shifted by the total of the partitions before it, one row per partition.
     """
-    keys = [group] if group else []
-    sliced = with_slice(values, value, group)
-    return _placed(sliced, _offsets(sliced, weight, keys), value, weight, keys).select(*values.columns, "before")
+    dealt = values.repartitionByRange(value).withColumn("part", F.spark_partition_id())
+    dealt = materialized(dealt, "ranges")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = dealt.groupBy("part").agg(F.sum(weight).alias("part_weight"))
+    offsets = totals.select("part", F.coalesce(F.sum("part_weight").over(earlier), F.lit(0)).alias("offset"))
+    running = Window.partitionBy("part").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    # one row per partition of the shuffle
+    placed = dealt.join(F.broadcast(offsets), "part")
+    return placed.select(*values.columns, (F.col("offset") + F.coalesce(F.sum(weight).over(running), F.lit(0))).alias("before"))
 
 
 def with_rank_descending(rows: DataFrame, value: str, rank: str) -> DataFrame:
-    """SQL rank over the whole table, largest first, equal values sharing a rank.
+    """SQL rank over the whole table, largest first, equal values sharing a rank; nulls come first and rank 1.
 
-    The window runs over distinct values with their counts, so a value shared by many rows is one
-    row there; the rank is joined back on the value.
+    Ranks are worked out on distinct values with their counts, so a value shared by many rows is one row there, and
+    joined back on the value.
     """
     rows = materialized(rows, "ranked")
-    tallied = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n")).withColumn("falling", -F.col(value))
-    ranked = with_weight_before(tallied, "falling", "n").select(value, (F.col("before") + 1).cast("bigint").alias(rank))
-    return rows.join(ranked, value)
+    tallied = rows.groupBy(value).agg(F.count(F.lit(1)).alias("n"))
+    unknown = tallied.where(F.col(value).isNull()).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    falling = tallied.where(F.col(value).isNotNull()).withColumn("falling", -F.col(value))
+    known = with_weight_before(falling, "falling", "n").select(F.col(value).alias("__value"), (F.col("before") + 1).alias("__place"))
+    ranked = materialized(known.select("__value", (F.col("__place") + unknown.scalar()).cast("bigint").alias(rank)), "places")
+    placed = rows.join(ranked, rows[value] == ranked["__value"], "left")
+    return placed.select(*rows.columns, F.coalesce(F.col(rank), F.lit(1).cast("bigint")).alias(rank))
 
 
-def value_counts(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """One row per column and distinct value: column, value, n. Nulls are left out.
-
-    Written once, so that the facts behind it are read a single time.
-    """
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])
-    counted = (
-        rows.select(F.inline(cells)).filter(F.col("value").isNotNull())
-        .groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    )
-    return spread_scan(materialized(counted, "value-counts"))
+def _number(column: str) -> Column:
+    """The value as a double; a NaN is a missing value."""
+    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
 
 
-def quartiles(counts: DataFrame) -> DataFrame:
-    """Exact quartiles with linear interpolation per column: column, total, q1, q3.
+def _brackets(rows: DataFrame, columns: list[str], error: float) -> tuple[dict[str, int], dict[tuple[str, float], tuple[float, float]]]:
+    """Per column its number of values, and per quartile two values that its positions lie between, from one aggregate."""
+    wanted = [min(1.0, max(0.0, f + side * 2 * error)) for f in FRACTIONS for side in (-1, 1)]
+    parts = [x for i, c in enumerate(columns) for x in (F.count(_number(c)).alias(f"n{i}"), F.percentile_approx(_number(c), wanted, int(1 / error)).alias(f"q{i}"))]
+    seen = rows.agg(*parts).first()
+    totals = {c: seen[f"n{i}"] for i, c in enumerate(columns)}
+    return totals, {(c, f): tuple(seen[f"q{i}"][2 * k : 2 * k + 2]) for i, c in enumerate(columns) if totals[c] for k, f in enumerate(FRACTIONS)}
 
-    Only the few slices that hold a wanted position are put in order.
-    """
-    sliced = with_slice(counts, "value", "column")
-    whole = Window.partitionBy("column")
-    offsets = _offsets(sliced, "n", ["column"]).withColumn("total", F.sum("slice_weight").over(whole))
 
-    def place(fraction: float) -> Column:
-        return (F.col("total") - 1) * fraction
+def quartiles(rows: DataFrame, columns: list[str], error: float = RANK_ERROR) -> dict[str, tuple[int, float, float]]:
+    """Per column with values: their number and the exact quartiles, linearly interpolated.
 
-    places = {f"{side}{int(f * 4)}": step(place(f)) for f in (0.25, 0.75) for side, step in (("low", F.floor), ("high", F.ceil))}
-    holds = F.exists(F.array(*places.values()), lambda p: (F.col("offset") <= p) & (p < F.col("offset") + F.col("slice_weight")))
-    placed = _placed(sliced, offsets.filter(holds), "value", "n", ["column"])
-
-    def at(position: Column) -> Column:
-        covers = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
-        return F.max(F.when(covers, F.col("value")))
-
-    picked = placed.groupBy("column").agg(F.max("total").alias("total"), *[at(p).alias(name) for name, p in places.items()])
-
-    def between(low: str, high: str, fraction: float) -> Column:
-        share = place(fraction) - F.floor(place(fraction))
-        return F.col(low) + (F.col(high) - F.col(low)) * share
-
-    return picked.select("column", "total", between("low1", "high1", 0.25).alias("q1"), between("low3", "high3", 0.75).alias("q3"))
+    Approximate quantiles, whose rank error is known, bracket each quartile; a second pass counts what lies below a
+    bracket and the values within it, about four errors' share of the rows. Nothing else is shuffled.
+    """
+    totals, brackets = _brackets(rows, columns, error)
+    cells = []
+    for (c, f), (low, high) in brackets.items():
+        v = _number(c)
+        zone = F.when(v < low, float("-inf")).when(v <= high, v)
+        cells.append(F.struct(F.lit(c).alias("column"), F.lit(f).alias("fraction"), zone.alias("value")))
+    if not cells:
+        return {}
+    counted = rows.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).groupBy("column", "fraction", "value").agg(F.count(F.lit(1)).alias("n"))
+    upto = Window.partitionBy("column", "fraction").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    placed = counted.withColumn("upto", F.sum("n").over(upto))
+
+    def place(step) -> Column:
+        size = F.create_map(*[F.lit(x) for c, n in totals.items() for x in (c, n)])[F.col("column")]
+        return step((size - 1) * F.col("fraction"))
+
+    # the value at a position is the smallest that more rows than that are at or below
+    found = placed.groupBy("column", "fraction").agg(
+        F.min(F.when(F.col("upto") > place(F.floor), F.col("value"))).alias("low"), F.min(F.when(F.col("upto") > place(F.ceil), F.col("value"))).alias("high"))
+    at = {(r["column"], r["fraction"]): (r["low"], r["high"]) for r in found.collect()}  # two rows per declared column
+    result = {}
+    for c, n in totals.items():
+        if not n:
+            continue
+        ends = []
+        for f in FRACTIONS:
+            low, high = at.get((c, f), (None, None))
+            if low is None or high is None or (low == float("-inf") and brackets[c, f][0] != low):
+                # outside its bracket: look again with a wider one
+                return quartiles(rows, columns, min(0.5, error * 16))
+            share = (n - 1) * f - int((n - 1) * f)
+            ends.append(low + (high - low) * share)
+        result[c] = (n, *ends)
+    return result
 
 
 def iqr_outliers(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Rows outside 1.5 interquartile ranges: column, low, high, n. Needs four values and a non-zero range."""
-    counts = value_counts(rows, columns)
-    spread = F.col("q3") - F.col("q1")
-    fences = (
-        quartiles(counts).filter((F.col("total") >= 4) & (spread != 0))
-        .select("column", (F.col("q1") - 1.5 * spread).alias("low"), (F.col("q3") + 1.5 * spread).alias("high"))
-    )
-    outside = (F.col("value") < F.col("low")) | (F.col("value") > F.col("high"))
-    return (
-        counts.join(F.broadcast(fences), "column").groupBy("column", "low", "high")
-        .agg(F.coalesce(F.sum(F.when(outside, F.col("n"))), F.lit(0)).alias("n"))
-    )
+    fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (n, q1, q3) in quartiles(rows, columns).items() if n >= 4 and q1 != q3}
+    schema = "column string, low double, high double, n bigint"
+    if not fences:
+        return rows.sparkSession.createDataFrame([], schema)
+    counts = rows.agg(*[F.count_if((_number(c) < low) | (_number(c) > high)).alias(f"n{i}") for i, (c, (low, high)) in enumerate(fences.items())])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.col(f"n{i}").alias("n")) for i, (c, (low, high)) in enumerate(fences.items())])))

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from kpiloom.functions.dates import answer_date
 from kpiloom.functions.text import number_text
+from kpiloom.operators.sets import small_side
 from kpiloom.plans.registry import ConfigError
 
 # Columns of the requirement map, of the resolved table and of the client context.
@@ -90,15 +91,29 @@ def _filled(name: str, fallback: str | None = None) -> Column:
     return F.coalesce(value, F.lit(fallback)) if fallback is not None else value
 
 
-def _not_zero(text: Column) -> Column:
-    return F.when(~F.trim(text).isin("", "0", "0.0"), F.trim(text))
+def unpivot_answers(answers: DataFrame, ids: list[str], fields: list[str] | None = None, unnamed: bool = False) -> DataFrame:
+    """ids, field, answer — one row per project and answered column, of the given fields only if any are given.
 
+    unnamed: each project also carries one answer of no field, which is null.
+    """
+    names = [f for f in answers.schema.fields if f.name not in ids and (fields is None or f.name in fields)]
+    cells = [F.struct(F.lit(f.name).alias("field"), as_answer_text(F.col(f.name), f.dataType).alias("answer")) for f in names]
+    if unnamed:
+        cells.append(F.struct(F.lit(NO_FIELD).alias("field"), F.lit(None).cast("string").alias("answer")))
+    return answers.select(*ids, F.inline(F.array(*cells)))
+
+
+def with_answers(answers: DataFrame, ids: list[str], requirements: DataFrame) -> DataFrame:
+    """Each requirement of each project with its raw answer: ids, answer and the map's columns; none where nothing is asked.
 
-def unpivot_answers(answers: DataFrame, ids: list[str]) -> DataFrame:
-    """ids, field, answer — one row per project and answered column."""
-    names = [f for f in answers.schema.fields if f.name not in ids]
-    cells = F.array(*[F.struct(F.lit(f.name).alias("field"), as_answer_text(F.col(f.name), f.dataType).alias("answer")) for f in names])
-    return answers.select(*ids, F.inline(cells))
+    Only fields that some requirement asks for are unpivoted. The map is a declared table: it goes to every task, so
+    no answer is shuffled; beyond the checked size the join is an ordinary one on the field.
+    """
+    wanted = F.trim(F.coalesce(F.col("intake_field"), F.lit("")))
+    own = [c for c in answers.columns if c not in ids]
+    keyed = requirements.withColumn("field", F.when(wanted.isin(own), wanted).otherwise(NO_FIELD))
+    asked = [r.field for r in keyed.select("field").distinct().collect()]  # at most one per answer column
+    return unpivot_answers(answers, ids, asked, unnamed=True).join(small_side(keyed), "field")
 
 
 def resolved_status(answer: Column) -> tuple[Column, Column]:
@@ -129,30 +144,26 @@ def project_heads(answers: DataFrame, default_date: Column | None = None) -> Dat
     def text(name: str) -> Column:
         return as_answer_text(F.col(name), types[name]) if name in types else F.lit(None).cast("string")
 
+    def given(name: str) -> Column:
+        """The trimmed text of an answer; none where it is null, the empty text, or a number or boolean equal to zero."""
+        if name not in types:
+            return F.lit(None).cast("string")
+        none = F.col(name) == "" if isinstance(types[name], T.StringType) else F.col(name).cast("double") == 0 if isinstance(types[name], (T.NumericType, T.BooleanType)) else F.lit(False)
+        return F.when(~F.coalesce(none, F.lit(True)), F.trim(text(name)))
+
     return answers.withColumns({
         "head_date": F.coalesce(answer_date(text("assessment_date")), default_date if default_date is not None else F.current_date()),
-        "head_project": F.coalesce(_not_zero(text("project_id")), F.lit("UNKNOWN")),
-        "head_market": client_market(_not_zero(text("preferred_markets"))),
+        "head_project": F.coalesce(given("project_id"), F.lit("UNKNOWN")),
+        "head_market": client_market(given("preferred_markets")),
     })
 
 
 def resolve(answers: DataFrame, requirements: DataFrame, default_date: Column | None = None) -> DataFrame:
-    """One row per requirement and project, eight columns.
-
-    The join key is the field name. A small map is broadcast by Spark on its measured size; a large
-    one shuffles, where adaptive execution splits field partitions that are too big.
-    """
+    """One row per requirement and project, eight columns."""
     heads = project_heads(answers, default_date)
-    fields = [f for f in answers.schema.fields]
-    cells = [F.struct(F.lit(f.name).alias("field"), as_answer_text(F.col(f.name), f.dataType).alias("answer")) for f in fields]
-    cells.append(F.struct(F.lit(NO_FIELD).alias("field"), F.lit(None).cast("string").alias("answer")))
-    answered = heads.select("head_date", "head_project", "head_market", F.inline(F.array(*cells)))
-
-    wanted = F.trim(F.coalesce(F.col("intake_field"), F.lit("")))
-    keyed = requirements.withColumn("field", F.when(wanted.isin([f.name for f in fields]), wanted).otherwise(NO_FIELD))
     status, notes = resolved_status(F.col("answer"))
     market = F.coalesce(F.col("head_market"), _filled("market_scope", ""))
-    return answered.join(keyed, "field").select(
+    return with_answers(heads, ["head_date", "head_project", "head_market"], requirements).select(
         F.col("head_date").alias("date"), F.col("head_project").alias("project_id"), F.trim("category").alias("category"),
         F.trim(market).alias("market"), F.trim("requirement_name").alias("requirement_name"),
         F.trim(status).alias("status"), F.trim("severity").alias("severity"), F.trim(notes).alias("notes"),
@@ -160,7 +171,7 @@ def resolve(answers: DataFrame, requirements: DataFrame, default_date: Column |
 
 
 def client_context(answers: DataFrame) -> DataFrame:
-    """29 text columns per project: absent, null and zero become '', dates ISO."""
+    """29 text columns per project: absent, null, zero and false become '', dates ISO."""
     types = {f.name: f.dataType for f in answers.schema.fields}
 
     def cell(name: str) -> Column:
@@ -168,8 +179,8 @@ def client_context(answers: DataFrame) -> DataFrame:
             return F.lit("")
         text = as_answer_text(F.col(name), types[name])
         empty = text.isNull()
-        if isinstance(types[name], T.NumericType):
-            empty = empty | (F.col(name) == 0)
+        if isinstance(types[name], (T.NumericType, T.BooleanType)):
+            empty = empty | (F.col(name).cast("double") == 0)
         shown = F.coalesce(answer_date(text).cast("string"), text) if name in CONTEXT_DATES else F.trim(text)
         return F.when(empty, "").otherwise(shown)
 

@@ -74,38 +74,38 @@ def rollup_parts(facts: DataFrame, registry: Registry, keys: list[str] | None =
     """Parts per rollup, labelled; rows with a null segment leave only the rollups that use it."""
     keys = keys or []
     rollups = registry.usable_rollups(facts.columns)
-    if not rollups:
-        raise ConfigError("no declared rollup can be computed from these columns")
     segments = sorted({s for r in rollups for s in r})
     clash = sorted(set(keys) & set(segments))
     if clash:
         raise ConfigError(f"columns cannot be key and segment at once: {clash}")
     fine = finest_parts(facts, registry, keys)
     part_names = list(_parts(registry))
+    if not rollups:
+        # every declared rollup lacks a column: a table of no rows
+        return fine.where(F.lit(False)).select(*keys, F.lit(None).cast("string").alias("rollup_level"), "date", *map(_part, part_names))
     shared = [F.col(c) for c in [*keys, "date"]]
     merged = [F.sum(_part(p)).alias(p) for p in part_names]
     if not segments:
+        # the finest parts are the only rollup
         return fine.select(*keys, F.lit(rollup_label(())).alias("rollup_level"), "date", *map(_part, part_names))
 
     rolled_up = {s: F.grouping(s).alias(f"rolled:{s}") for s in segments}
     grouped = fine.groupingSets(
-        [[*shared, *[F.col(s) for s in r]] for r in rollups], *keys, "date", *segments
+        [[*shared, *[F.col(s) for s in r]] for r in {frozenset(r): r for r in rollups}.values()], *keys, "date", *segments
     ).agg(*merged, *rolled_up.values())
-    level = reduce(
-        lambda column, r: column.when(
-            reduce(lambda a, b: a & b, [_part(f"rolled:{s}") == (0 if s in r else 1) for s in segments]), rollup_label(r)
-        ),
-        rollups[1:],
-        F.when(
-            reduce(lambda a, b: a & b, [_part(f"rolled:{s}") == (0 if s in rollups[0] else 1) for s in segments]),
-            rollup_label(rollups[0]),
-        ),
-    )
+    # rollups over the same set of segments are one grouping set with a label each
+    labels: dict[frozenset, list[str]] = {}
+    for r in rollups:
+        labels.setdefault(frozenset(r), []).append(rollup_label(r))
+    level = F.coalesce(*[
+        F.when(reduce(lambda a, b: a & b, [_part(f"rolled:{s}") == (0 if s in used else 1) for s in segments]), F.array(*map(F.lit, names)))
+        for used, names in labels.items()
+    ])
     known_segments = reduce(
         lambda a, b: a & b, [(_part(f"rolled:{s}") == 1) | F.col(s).isNotNull() for s in segments]
     )
     return grouped.filter(known_segments).select(
-        *keys, level.alias("rollup_level"), "date", *segments, *map(_part, part_names)
+        *keys, F.explode(level).alias("rollup_level"), "date", *segments, *map(_part, part_names)
     )
 
 

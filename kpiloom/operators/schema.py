@@ -35,10 +35,17 @@ def standard_names(columns: list[str], schema: FactSchema) -> dict[str, str]:
 
 
 def _typed(c: Column, spec: ColumnSpec, current: T.DataType) -> Column:
+    if isinstance(current, (T.DoubleType, T.FloatType)):
+        # a number that is none is a missing one
+        return F.nanvl(c, F.lit(None).cast(current))
     if spec.type == "float" and not isinstance(current, T.NumericType):
         return as_double(F.trim(c.cast("string")))
     if spec.type == "date" and not isinstance(current, T.DateType):
-        return messy_date(F.trim(c)) if isinstance(current, T.StringType) else c.cast("date")
+        if not isinstance(current, T.StringType):
+            return c.cast("date")
+        # the intake layouts, and the year first with slashes
+        slashed = F.when(F.trim(c).rlike(r"^[0-9]{4}/[0-9]{1,2}/[0-9]{1,2}$"), F.try_to_date(F.trim(c), "y/M/d"))
+        return F.coalesce(messy_date(F.trim(c)), slashed)
     return c
 
 
@@ -69,6 +76,7 @@ def normalize(raw: DataFrame, schema: FactSchema, check_values: bool = True) ->
 
     types = {f.name: f.dataType for f in facts.schema.fields}
     casts = {s.name: _typed(F.col(s.name), s, types[s.name]) for s in schema.base}
+    casts |= {s.name: _typed(F.col(s.name), s, types[s.name]) for s in (*schema.segments, *schema.conditions) if s.name in types and isinstance(types[s.name], (T.DoubleType, T.FloatType))}
     converting = [s for s in schema.base if isinstance(types[s.name], T.StringType) and s.type in ("float", "date")]
     if check_values and converting:
         failures = failed_casts(facts, FactSchema(tuple(converting))).first().asDict()

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.functions.numbers import bar_width, card_value, completion_colour
+from kpiloom.operators.sets import small_side
 from kpiloom.operators.snapshot import READINESS_IDS, at_latest_date, at_level, latest_date
 from kpiloom.plans.registry import ConfigError
 from kpiloom.sources.sinks import write_parquet
@@ -95,9 +96,9 @@ def metric_trends(long: DataFrame) -> DataFrame:
 
 
 def described(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Left join with the metric dictionary; a missing description is ''. Spark broadcasts it on its size."""
+    """Left join with the metric dictionary, a declared table; a missing description is ''."""
     texts = dictionary.select(F.col("id").alias("metric_id"), "description")
-    return rows.join(texts, "metric_id", "left").withColumn("description", F.coalesce("description", F.lit("")))
+    return rows.join(small_side(texts), "metric_id", "left").withColumn("description", F.coalesce("description", F.lit("")))
 
 
 def kpi_export(long: DataFrame, dictionary: DataFrame) -> DataFrame:

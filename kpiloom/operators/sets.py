@@ -10,6 +10,19 @@ def _quoted(names) -> list:
     return [F.col(f"`{n}`") for n in names]
 
 
+#: Rows of a table that goes to every task.
+MOST_BROADCAST_ROWS = 10_000
+
+
+def small_side(table: DataFrame) -> DataFrame:
+    """The table marked for broadcast if a count shows that it is small; else as it is, and a join shuffles both sides.
+
+    For declared tables, such as a requirement map or a metric dictionary, whose size the planner does not know.
+    """
+    counted = table.limit(MOST_BROADCAST_ROWS + 1).count()
+    return F.broadcast(table) if counted <= MOST_BROADCAST_ROWS else table
+
+
 def distinct_with_copies(rows: DataFrame, copies: str = "copies") -> DataFrame:
     """Distinct rows with how often each occurred; one shuffle serves both questions."""
     return rows.groupBy(*_quoted(rows.columns)).agg(F.count(F.lit(1)).alias(copies))
@@ -27,8 +40,29 @@ def first_occurrences(rows: DataFrame, order: str) -> DataFrame:
 
 
 def rows_not_in(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Distinct new rows that the existing table lacks; nulls compare equal."""
-    return new.select(*existing.columns).subtract(existing)
+    """Distinct new rows that the existing table lacks; nulls compare equal. Both must have the same columns."""
+    extra, absent = sorted(set(new.columns) - set(existing.columns)), sorted(set(existing.columns) - set(new.columns))
+    if extra or absent:
+        raise ValueError(f"columns differ: the table lacks {extra}, the new rows lack {absent}")
+    return new.select(*_quoted(existing.columns)).subtract(existing)
+
+
+def as_stored(new: DataFrame, stored: DataFrame) -> DataFrame:
+    """The new rows in the column types of the stored ones. A value that the stored type cannot hold stops the run."""
+    wanted = {f.name: f.dataType for f in stored.schema.fields}
+    differing = [f.name for f in new.schema.fields if f.name in wanted and f.dataType != wanted[f.name]]
+    if not differing:
+        return new
+    cast = {c: F.col(f"`{c}`").try_cast(wanted[c]) for c in differing}
+
+    def lost(c: str):
+        back = cast[c].try_cast(new.schema[c].dataType)
+        return F.count_if(F.col(f"`{c}`").isNotNull() & ~F.coalesce(back == F.col(f"`{c}`"), F.lit(False))).alias(c)
+
+    failures = {c: n for c, n in new.agg(*[lost(c) for c in differing]).first().asDict().items() if n}
+    if failures:
+        raise ValueError(f"values that the stored type cannot hold, per column: {failures}")
+    return new.withColumns(cast)
 
 
 def one_per_key(rows: DataFrame, keys: list[str], order_by: list[str] | None = None) -> DataFrame:

@@ -181,6 +181,14 @@ def fact_schema(declared: dict[str, Any]) -> FactSchema:
     return FactSchema(specs("base_columns"), specs("segment_columns"), specs("condition_columns"))
 
 
+def load_schema(path: str) -> FactSchema:
+    return fact_schema(read_yaml(path))
+
+
+def load_intake_config(path: str) -> IntakeConfig:
+    return intake_config(read_yaml(path))
+
+
 @dataclass
 class ColumnRule:
     rename: str | None = None
@@ -200,8 +208,17 @@ class IntakeConfig:
     select_columns: list[str] = field(default_factory=list)
 
 
+# Keys of such declarations that steer a command line, not the data; and one of another name.
+COMMAND_KEYS = {"output_dir", "run_validate", "run_profile", "sheet"}
+RENAMED_KEYS = {"db_mode": "table_mode"}
+
+
 def intake_config(declared: dict[str, Any]) -> IntakeConfig:
-    values = dict(declared)
+    """The configuration of an intake run; keys for a command line are accepted and left aside."""
+    values = {RENAMED_KEYS.get(k, k): v for k, v in declared.items() if k not in COMMAND_KEYS}
+    unknown = sorted(set(values) - set(IntakeConfig.__dataclass_fields__))
+    if unknown:
+        raise ConfigError(f"unknown configuration keys: {unknown}")
     values["columns"] = {k: ColumnRule(**v) for k, v in (values.get("columns") or {}).items()}
     return IntakeConfig(**values)
 

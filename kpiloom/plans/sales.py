@@ -10,16 +10,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpiloom.functions.numbers import money_round
+from kpiloom.functions.numbers import ratio_in_cents
 from kpiloom.operators.ordering import with_rank_descending
 
+#: Decimals of the amounts.
+MONEY_DECIMALS = 2
+
 
 def cents(c: Column) -> Column:
     return F.round(c, 2).cast("double")
 
 
 def share_percent(part: Column, whole: Column) -> Column:
-    return money_round(F.try_divide(part.cast("double"), F.nullif(whole.cast("double"), F.lit(0.0))) * 100)
+    return ratio_in_cents(part, whole, MONEY_DECIMALS, 100)
 
 
 def revenue_totals(orders: DataFrame) -> DataFrame:
@@ -67,7 +70,7 @@ def _orders_per_customer(orders: DataFrame) -> DataFrame:
 
 
 def customer_behaviour(orders: DataFrame) -> DataFrame:
-    average = money_round(F.try_divide(F.col("s").cast("double"), F.col("total_orders").cast("double")))
+    average = ratio_in_cents(F.col("s"), F.col("total_orders"), MONEY_DECIMALS)
     return _orders_per_customer(orders).select(
         "customer_id", "total_orders", cents(F.col("s")).alias("total_spent"), average.alias("avg_order_value")
     ).orderBy(F.desc("total_spent"))
@@ -81,7 +84,7 @@ def discount_impact(orders: DataFrame) -> DataFrame:
     summed = orders.groupBy(bucket.alias("discount_bucket")).agg(
         F.count(F.lit(1)).alias("order_count"), F.count("profit").alias("n"), F.sum("profit").alias("p"))
     return summed.select("discount_bucket", "order_count",
-                         money_round(F.try_divide(F.col("p").cast("double"), F.col("n").cast("double"))).alias("avg_profit")).orderBy(F.desc("avg_profit"))
+                         ratio_in_cents(F.col("p"), F.col("n"), MONEY_DECIMALS).alias("avg_profit")).orderBy(F.desc("avg_profit"))
 
 
 def repeat_customers(orders: DataFrame) -> DataFrame:

@@ -56,13 +56,3 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Rows over all cores when the input has fewer splits than there are cores; else unchanged.
-
-    For work that is heavy per row, and for plain file scans only: asking a plan with shuffles for its
-    partitions would run them. Large inputs have more splits than cores and keep them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

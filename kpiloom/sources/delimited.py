@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import csv
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,8 @@ from kpiloom.operators.cleaning import null_sentinels
 # Delimiters told apart, and how many lines are looked at.
 DELIMITERS = ",\t;|"
 HEAD_LINES = 10
+#: Bytes of a file's beginning read at a time, and after which a header without a line end is given up.
+HEAD_BYTES, MOST_HEAD_BYTES = 1 << 16, 1 << 24
 SUFFIXES = (".csv", ".tsv")
 
 SOURCE_FILE = "source_file"
@@ -39,6 +42,7 @@ class Layout:
 @dataclass
 class Batch:
     tables: dict[Layout, DataFrame] = field(default_factory=dict)
+    files: dict[Layout, list[str]] = field(default_factory=dict)
     failed: dict[str, str] = field(default_factory=dict)
     found: int = 0
 
@@ -69,26 +73,79 @@ def _distinct_headers(names: list[str]) -> tuple[str, ...]:
     return tuple(result)
 
 
-def layout_of(spark: SparkSession, path: str) -> Layout:
-    """Layout from the first lines only; the limit stops the read in the first split."""
-    head = [r.value for r in spark.read.text(path).limit(HEAD_LINES).collect()]
-    if not head:
+def _first_lines(path: str) -> list[str]:
+    """The first lines of a file, read piece by piece until there are enough. Runs in a task."""
+    files, place = pafs.FileSystem.from_uri(path if "://" in path else path.replace("file:/", "file:///", 1) if path.startswith("file:/") else f"file://{path}")
+    raw = b""
+    with files.open_input_stream(place) as source:
+        while raw.count(b"\n") < HEAD_LINES and len(raw) < MOST_HEAD_BYTES:
+            piece = source.read(HEAD_BYTES)
+            if not piece:
+                break
+            raw += piece
+    return [line.rstrip("\r") for line in raw.decode("utf-8", "replace").split("\n")][:HEAD_LINES]
+
+
+def heads(spark: SparkSession, paths: list[str]) -> dict[str, tuple[list[str], str | None]]:
+    """Per file its first lines, or why they can't be read: one job over all files, each task reads beginnings only."""
+
+    def read(batches):
+        for batch in batches:
+            for path in batch.column("path").to_pylist():
+                lines, error = [], None
+                try:
+                    lines = _first_lines(path)
+                except Exception as failure:  # recorded per file, as the others go on
+                    error = str(failure).split("\n")[0]
+                yield pa.RecordBatch.from_pydict({"path": pa.array([path]), "lines": pa.array([lines], pa.list_(pa.string())), "error": pa.array([error], pa.string())})
+
+    if not paths:
+        return {}
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), spark.sparkContext.defaultParallelism))
+    return {r.path: (list(r.lines), r.error) for r in listed.mapInArrow(read, "path string, lines array<string>, error string").toLocalIterator()}
+
+
+def _layout(path: str, head: list[str], error: str | None, separator: str | None = None) -> Layout:
+    if error:
+        raise LoadError(error)
+    if not any(head):
         raise LoadError(f"no lines in {path}")
-    head[0] = head[0].removeprefix("\ufeff")
-    separator = detect_separator(head)
-    return Layout(separator, _distinct_headers(next(csv.reader([head[0]], delimiter=separator))))
+    first = head[0].removeprefix("\ufeff")
+    separator = separator or detect_separator([first, *head[1:]])
+    return Layout(separator, _distinct_headers(next(csv.reader([first], delimiter=separator))))
 
 
-def _spans_lines(spark: SparkSession, paths: list[str]) -> bool:
-    """Whether some quoted value holds a line break: a line with an odd number of quotes exists."""
-    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return not spark.read.text(paths).filter(quotes % 2 == 1).isEmpty()
+def layouts_of(spark: SparkSession, paths: list[str], separator: str | None = None) -> tuple[dict[Layout, list[str]], dict[str, str]]:
+    """Files by layout, and the reason for each file that has none."""
+    groups: dict[Layout, list[str]] = {}
+    failed: dict[str, str] = {}
+    for path, (head, error) in sorted(heads(spark, paths).items()):
+        try:
+            groups.setdefault(_layout(path, head, error, separator), []).append(path)
+        except LoadError as failure:
+            failed[path] = str(failure)
+    return groups, failed
+
+
+def layout_of(spark: SparkSession, path: str) -> Layout:
+    """Layout of one file, or of the files of a folder that a writer left; these must agree."""
+    groups, failed = layouts_of(spark, files_below(spark, path))
+    if failed or len(groups) != 1:
+        raise LoadError(next(iter(failed.values())) if failed else f"files of {path} differ in layout: {sorted(g[0] for g in groups.values())}")
+    return next(iter(groups))
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """The file itself, or the part files of a folder. Only the listing is read."""
+    return sorted(map(unquote, spark.read.format("binaryFile").load(path).inputFiles()))
+
 
+def read_layout(spark: SparkSession, paths: list[str], layout: Layout, multiline: bool = False, header: bool = True) -> DataFrame:
+    """Files of one layout in one scan, with the source file and the text of malformed rows.
 
-def read_layout(spark: SparkSession, paths: list[str], layout: Layout, multiline: bool | None = None, header: bool = True) -> DataFrame:
-    """Files of one layout in one scan, with the source file and the text of malformed rows."""
-    if multiline is None:
-        multiline = _spans_lines(spark, paths)
+    ``multiline`` is declared by whoever knows the files: quoted values may then hold line ends, and a file is
+    read by one task. Without it large files are split; rows_with_open_quotes() finds files that needed it.
+    """
     reader = (
         spark.read.schema(layout.schema(BROKEN)).option("header", header).option("sep", layout.separator)
         .option("quote", '"').option("escape", '"').option("mode", "PERMISSIVE")
@@ -114,18 +171,25 @@ def with_overlong_flag(table: DataFrame, layout: Layout) -> DataFrame:
     return table.withColumn("overlong", overlong).drop(BROKEN)
 
 
-def read_delimited(spark: SparkSession, paths: str | list[str], separator: str | None = None, multiline: bool | None = None) -> DataFrame:
-    """Files sharing one layout as text columns, null sentinels nulled.
+def rows_with_open_quotes(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """source_file, n: lines with an odd number of quotes, per file that has any."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias(SOURCE_FILE))
+    return lines.where(quotes % 2 == 1).groupBy(SOURCE_FILE).agg(F.count(F.lit(1)).alias("n"))
+
 
-    ``multiline=None`` looks once whether quoted values span lines. Say False for inputs known not to:
-    large files then split without that extra pass.
+def read_delimited(spark: SparkSession, paths: str | list[str], separator: str | None = None, multiline: bool = False) -> DataFrame:
+    """Files as one table of text columns, null sentinels nulled.
+
+    Every file is read by its own header: files of one layout share a scan, and layouts are united by column name,
+    absent columns null. A file that can't be read stops the run.
     """
-    paths = [paths] if isinstance(paths, str) else paths
-    layout = layout_of(spark, paths[0])
-    if separator and separator != layout.separator:
-        head = spark.read.text(paths[0]).first().value.removeprefix("\ufeff")
-        layout = Layout(separator, _distinct_headers(next(csv.reader([head], delimiter=separator))))
-    return null_sentinels(read_layout(spark, paths, layout, multiline).select(*[F.col(f"`{c}`") for c in layout.header]))
+    wanted = [f for path in ([paths] if isinstance(paths, str) else paths) for f in files_below(spark, path)]
+    groups, failed = layouts_of(spark, wanted, separator)
+    if failed or not groups:
+        raise LoadError("; ".join(f"{p}: {why}" for p, why in sorted(failed.items())) or f"no files in {paths}")
+    tables = [read_layout(spark, members, layout, multiline).select(*[F.col(f"`{c}`") for c in layout.header]) for layout, members in groups.items()]
+    return null_sentinels(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tables))
 
 
 def list_files(spark: SparkSession, folder: str) -> list[str]:
@@ -134,26 +198,18 @@ def list_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(path for path in map(unquote, listed) if path.lower().endswith(SUFFIXES))
 
 
-def read_folder(spark: SparkSession, folder: str, multiline: bool | None = None, threads: int = 8) -> Batch:
+def read_folder(spark: SparkSession, folder: str, multiline: bool = False) -> Batch:
     """Every file of a folder. Files of the same layout share one scan; an unreadable file is recorded
     and does not stop the others. Each table carries source_file and overlong."""
     paths = list_files(spark, folder)
-    batch = Batch(found=len(paths))
-
-    def probe(path: str):
-        try:
-            return path, layout_of(spark, path), None
-        except Exception as error:  # recorded per file, as the batch goes on
-            return path, None, str(error).split("\n")[0]
-
-    groups: dict[Layout, list[str]] = {}
-    with ThreadPoolExecutor(threads) as pool:
-        for path, layout, error in pool.map(probe, paths):
-            if error:
-                batch.failed[path.rsplit("/", 1)[-1]] = error
-            else:
-                groups.setdefault(layout, []).append(path)
+    groups, failed = layouts_of(spark, paths)
+    batch = Batch(failed={_name(p): why for p, why in failed.items()}, found=len(paths))
     for layout, members in groups.items():
         table = with_overlong_flag(read_layout(spark, members, layout, multiline), layout)
         batch.tables[layout] = null_sentinels(table, [SOURCE_FILE])
+        batch.files[layout] = [_name(p) for p in members]
     return batch
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1]

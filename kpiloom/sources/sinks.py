@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.operators.sets import rows_not_in
+from kpiloom.operators.sets import as_stored, rows_not_in
 from kpiloom.sources.reports import exists
 
 
@@ -46,11 +46,13 @@ def append_new_rows(df: DataFrame, path: str) -> int:
     """Append the distinct rows the table lacks, creating it if needed; returns the total row count.
 
     The existing files are listed before the write starts and appending only adds files, so the
-    difference reads a fixed snapshot even when tasks are rerun.
+    difference reads a fixed snapshot even when tasks are rerun. New rows take the stored column types; other
+    columns, or values those types cannot hold, stop the run before anything is written.
     """
     spark: SparkSession = df.sparkSession
     if exists(spark, path):
-        rows_not_in(df, spark.read.parquet(path)).write.mode("append").parquet(path)
+        stored = spark.read.parquet(path)
+        rows_not_in(as_stored(df, stored), stored).write.mode("append").parquet(path)
     else:
         df.write.parquet(path)
     return spark.read.parquet(path).count()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kpiloom.operators import cleaning as cl
 from kpiloom.operators import intake_checks as ic
 from kpiloom.operators import profiling as pr
-from kpiloom.plans.intake import export, prepare, run_folder
+from kpiloom.plans.intake import export, export_folder, prepare, run_folder
 from kpiloom.plans.registry import ColumnRule, ConfigError, IntakeConfig
 from kpiloom.sources import delimited as dl
 from kpiloom.sources import sinks as sk
@@ -83,10 +83,23 @@ def test_separator(lines, want):
 
 def test_reader_byte_order_mark_bad_bytes_and_line_breaks(spark, text_file):
     path = text_file("odd.csv", b'\xef\xbb\xbfname,note\nA,"two\nlines"\nB,caf\xe9\nC,NULL\n')
-    rows = {r.name: r.note for r in dl.read_delimited(spark, path).collect()}
+    rows = {r.name: r.note for r in dl.read_delimited(spark, path, multiline=True).collect()}
     assert rows == {"A": "two\nlines", "B": "caf�", "C": None}
 
 
+def test_files_with_open_quotes_are_named(spark, text_file):
+    paths = [text_file("open.csv", 'a,b\n1,"x\ny"\n'), text_file("plain.csv", 'a,b\n1,"5 ""pipe"""\n')]
+    assert [tuple(r) for r in dl.rows_with_open_quotes(spark, paths).collect()] == [("open.csv", 2)]
+
+
+def test_each_file_is_read_by_its_own_header(spark, text_file):
+    paths = [text_file("one.csv", "id,name\n1,x\n"), text_file("two.csv", "name;id\ny;2\n"), text_file("three.csv", "id,extra\n3,z\n"), text_file("four.csv", "id,name\n")]
+    rows = dl.read_delimited(spark, paths).select("id", "name", "extra").collect()
+    assert sorted(map(tuple, rows)) == [("1", "x", None), ("2", "y", None), ("3", None, "z")]
+    with pytest.raises(dl.LoadError):
+        dl.read_delimited(spark, [*paths, text_file("none.csv", "")])
+
+
 def test_overlong_rows_lose_the_extra_fields(spark, text_file, tmp_path):
     text_file("long.csv", "a,b\n1,2\n3,4,5\n6\n\"x,y\",7\n")
     table = dl.read_folder(spark, str(tmp_path)).union()
@@ -109,6 +122,29 @@ def test_folder_run(spark, text_file, tmp_path):
     assert statuses == {"one.csv": "fail", "two.csv": "fail", "three.tsv": "pass"}
 
 
+def test_files_without_rows_are_found_empty(spark, text_file, tmp_path):
+    text_file("full.csv", "Id,Amount\n1,$5\n2,$6\n")
+    text_file("bare.csv", "Id,Amount\n")
+    text_file("other.csv", "Amount,Id,Note\n$7,3,n\n")
+    config = IntakeConfig(block_export_on_fail=True)
+    run = run_folder(spark, str(tmp_path), config)
+    totals = run.totals.first()
+    assert (totals.files_found, totals.files_processed, totals.files_failed_validation, totals.rows_loaded_total) == (3, 3, 1, 3)
+    assert {r.source_file: (r.status, r.rows_loaded) for r in run.files.collect()} == {"full.csv": ("pass", 2), "bare.csv": ("fail", 0), "other.csv": ("pass", 1)}
+    assert [(r.source_file, r.message) for r in run.findings.where("check = 'empty'").collect()] == [("bare.csv", "empty file: 0 rows loaded")]
+    gate = {r.source_file: r.exported for r in export_folder(run, str(tmp_path / "out"), config).collect()}
+    assert gate == {"full.csv": True, "bare.csv": False, "other.csv": True}
+    written = spark.read.option("header", True).csv([str(p) for p in (tmp_path / "out").glob("layout-*/source_file=full.csv")])
+    assert sorted(map(tuple, written.select("id", "amount").collect())) == [("1", "5"), ("2", "6")]
+
+
+def test_folder_without_a_readable_file(spark, text_file, tmp_path):
+    text_file("empty.csv", "")
+    run = run_folder(spark, str(tmp_path), IntakeConfig())
+    totals = run.totals.first()
+    assert (totals.files_found, totals.files_processed, totals.files_failed) == (1, 0, 1) and run.files.count() == 0
+
+
 def test_validation_ladder(spark, sites):
     def status(**options):
         found = ic.validate(sites, **options)
@@ -157,6 +193,16 @@ def test_append_twice_is_append_once(spark, tmp_path):
     assert sk.table_name("my file-1") == "my_file_1_clean"
 
 
+def test_append_takes_the_stored_types_or_stops(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sk.load_table(spark.createDataFrame([(1, "a")], "k bigint, v string"), path, "append")
+    assert sk.load_table(spark.createDataFrame([(2.0, "b")], "k double, v string"), path, "append") == 2
+    for bad in (spark.createDataFrame([(2.5, "b")], "k double, v string"), spark.createDataFrame([(3, "c", 1)], "k bigint, v string, extra int"), spark.createDataFrame([(3,)], "k bigint")):
+        with pytest.raises(ValueError):
+            sk.load_table(bad, path, "append")
+    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+
+
 def test_csv_sink_keeps_spaces_and_quotes(spark, tmp_path):
     df = spark.createDataFrame([('say "hi", ok', " pad ")], "a string, b string")
     path = sk.write_csv(df, str(tmp_path / "c"))

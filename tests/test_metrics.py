@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from kpiloom.functions.numbers import ratio_in_cents
 from kpiloom.operators import metric_checks as mc
 from kpiloom.operators import ordering, rollups, sets
 from kpiloom.operators.periods import with_prior_period
@@ -15,7 +16,7 @@ from kpiloom.operators.schema import Normalized, normalize
 from kpiloom.plans import sales as sa
 from kpiloom.plans.metrics import metric_tables, published_long
 from kpiloom.plans.registry import (
-    MARKET_METRICS, MARKET_SCHEMA, READINESS_METRICS, READINESS_SCHEMA, ConfigError, registry,
+    ConfigError, MARKET_METRICS, MARKET_SCHEMA, READINESS_METRICS, READINESS_SCHEMA, fact_schema, intake_config, registry,
 )
 
 JAN, FEB = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
@@ -188,23 +189,26 @@ def test_quartiles_against_numpy_with_a_hot_value(spark):
     rng = random.Random(7)
     values = [round(rng.lognormvariate(3, 2), 2) if i % 3 else 10.0 for i in range(20000)]  # a third of all rows share one value
     df = spark.createDataFrame([(v, -v if i % 5 else None) for i, v in enumerate(values)], "x double, y double")
-    got = {r.column: r for r in ordering.quartiles(ordering.value_counts(df, ["x", "y"])).collect()}
+    got = ordering.quartiles(df.union(spark.createDataFrame([(float("nan"), None)] * 9, df.schema)), ["x", "y"])
     other = [-v for i, v in enumerate(values) if i % 5]
     for column, series in (("x", values), ("y", other)):
-        assert got[column].total == len(series)
-        assert math.isclose(got[column].q1, np.quantile(series, 0.25), rel_tol=1e-12)
-        assert math.isclose(got[column].q3, np.quantile(series, 0.75), rel_tol=1e-12)
+        total, q1, q3 = got[column]
+        assert total == len(series)
+        assert math.isclose(q1, np.quantile(series, 0.25), rel_tol=1e-12) and math.isclose(q3, np.quantile(series, 0.75), rel_tol=1e-12)
+    assert ordering.quartiles(df, ["x"], error=0.2)["x"] == got["x"]
 
 
 def test_rank_against_brute_force(spark):
     rng = random.Random(3)
     values = [rng.randint(0, 3000) if i % 3 else 500 for i in range(9000)]
+    values += [None] * 70
     df = spark.createDataFrame(list(enumerate(values)), "k int, v int")
-    ranked = sorted(values, reverse=True)
+    ranked = sorted(values, key=lambda v: -10**9 if v is None else -v)
     first = {}
     for place, v in enumerate(ranked, start=1):
         first.setdefault(v, place)
-    assert all(r.place == first[r.v] for r in ordering.with_rank_descending(df, "v", "place").collect())
+    got = ordering.with_rank_descending(df, "v", "place").collect()
+    assert len(got) == len(values) and all(r.place == first[r.v] for r in got)
 
 
 def test_sets(spark):
@@ -230,3 +234,43 @@ def test_sales_buckets(spark):
     assert (totals.total_revenue, totals.total_profit, totals.profit_margin_pct) == (100.0, -6.01, -6.01)
     assert sa.revenue_totals(orders.filter("sales < 0")).first().profit_margin_pct is None
     assert [tuple(r) for r in sa.repeat_customers(orders).collect()] == [("Repeat Customer", 1)]
+
+
+def test_not_a_number_is_a_missing_value(spark):
+    raw = spark.createDataFrame([(JAN, "a", 1.0), (JAN, "a", float("nan")), (JAN, "b", 2.0)], "date date, region string, revenue double")
+    schema = fact_schema({"base_columns": [{"name": "date", "type": "date"}, {"name": "revenue", "type": "float"}], "segment_columns": [{"name": "region"}]})
+    declared = registry({"segment_rollups": [[]], "metrics": [{"id": "total", "label": "T", "type": "sum", "unit": "USD", "decimals": 0, "description": "", "source_col": "revenue"}]})
+    facts = normalize(raw, schema).facts
+    assert facts.where("revenue IS NULL").count() == 1
+    assert rollups.long_metrics(facts, declared).first().value == 3.0
+    assert [r.n for r in mc.value_findings(facts, declared).where("column = 'revenue'").collect()] == [1]
+
+
+def test_year_first_dates(spark):
+    schema = fact_schema({"base_columns": [{"name": "date", "type": "date"}]})
+    facts = normalize(spark.createDataFrame([("2024/03/05",), ("2024-03-06",)], "date string"), schema).facts
+    assert sorted(r.date for r in facts.collect()) == [dt.date(2024, 3, 5), dt.date(2024, 3, 6)]
+
+
+def test_rollups_over_the_same_segments_keep_their_labels(spark):
+    facts = spark.createDataFrame([(JAN, "x", "y", 1.0), (JAN, "x", "z", 2.0)], "date date, a string, b string, v double")
+    metric = {"id": "total", "label": "T", "type": "sum", "unit": "USD", "decimals": 0, "description": "", "source_col": "v"}
+    declared = registry({"segment_rollups": [["a", "b"], ["b", "a"], []], "metrics": [metric]})
+    got = {(r.rollup_level, r.b): r.value for r in rollups.long_metrics(facts, declared).collect()}
+    assert got == {("date_a_b", "y"): 1.0, ("date_a_b", "z"): 2.0, ("date_b_a", "y"): 1.0, ("date_b_a", "z"): 2.0, ("date_only", None): 3.0}
+    assert {r.rollup_level: r.n for r in mc.shared_keys(facts, declared).collect()} == {"date_a_b": 0, "date_b_a": 0, "date_only": 1}
+    none = registry({"segment_rollups": [["q"]], "metrics": [metric]})
+    assert rollups.long_metrics(facts, none).collect() == [] and mc.shared_keys(facts, none).collect() == []
+
+
+def test_quotients_are_rounded_once(spark):
+    rows = spark.createDataFrame([("1", "3"), ("1993006.65", "10"), ("-0.01", "2"), ("0.0049999996", "1"), ("5", "0"), (None, "1"), ("99999999999999999.99", "3")], "a string, b string")
+    got = [r[0] for r in rows.select(ratio_in_cents(F.col("a").cast("decimal(28,2)"), F.col("b").cast("decimal(20,2)"), 2)).collect()]
+    assert got == [0.33, 199300.67, -0.01, 0.0, None, None, 33333333333333333.33]
+
+
+def test_configuration_of_a_command_line_is_accepted():
+    config = intake_config({"db_mode": "append", "output_dir": "x", "run_validate": True, "run_profile": True, "sheet": None, "columns": {"a": {"rename": "b"}}})
+    assert config.table_mode == "append" and config.columns["a"].rename == "b"
+    with pytest.raises(ConfigError):
+        intake_config({"no_such_key": 1})

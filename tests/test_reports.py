@@ -146,9 +146,9 @@ def test_requirements(spark):
     ], "project_id string, assessment_date string, preferred_markets string, asked string")
     got = {(r.project_id, r.requirement_name): r for r in rq.resolve(answers, rq.requirement_map(spark, rows), F.lit("2000-01-01").cast("date")).collect()}
     assert len(got) == 15 and rq.resolve(answers, rq.requirement_map(spark, rows)).columns == rq.RESOLVED_COLUMNS
-    assert [(got[p, "A"].status, got[p, "A"].notes, got[p, "A"].market) for p in ("P1", "P2", "UNKNOWN", "P4", "P5")] == [
+    assert [(got[p, "A"].status, got[p, "A"].notes, got[p, "A"].market) for p in ("P1", "P2", "", "P4", "P5")] == [
         ("complete", "Yes", "NAM"), ("open", "todo", "Global"), ("in_progress", "partial", "Global"), ("not_started", "todo", "Global"), ("complete", "Signed", "NAM")]
-    assert [str(got[p, "B"].date) for p in ("P1", "P2", "UNKNOWN", "P4", "P5")] == ["2024-01-01", "2024-05-06", "2000-01-01", "2024-05-06", "2024-05-06"]
+    assert [str(got[p, "B"].date) for p in ("P1", "P2", "", "P4", "P5")] == ["2024-01-01", "2024-05-06", "2000-01-01", "2024-05-06", "2024-05-06"]
     assert (got["P1", "C"].status, got["P1", "C"].notes) == ("open", "") and got["P4", "B"].market == ""
     with pytest.raises(ConfigError, match="row 3"):
         rq.require_complete_map(rq.requirement_map(spark, [rows[0], rows[1] | {"severity": None}]))
@@ -184,3 +184,25 @@ def test_fact_files(spark, tmp_path, text_file):
         rp.read_facts(spark, text_file("x.xlsx", "a"))
     path = sk.write_parquet(spark.range(3), str(tmp_path / "f.parquet"))
     assert rp.read_facts(spark, path).count() == 3
+
+
+def test_project_ids_and_false_answers(spark):
+    rows = [{"requirement_id": "R1", "requirement_name": "n", "category": "c", "severity": "low", "intake_field": "x", "default_status": "open"}]
+    answers = spark.createDataFrame([("0", "yes"), (" P ", "no"), ("", None), (None, "a"), ("  ", "b")], "project_id string, x string")
+    got = sorted(r.project_id for r in rq.resolve(answers, rq.requirement_map(spark, rows), F.lit("2000-01-01").cast("date")).collect())
+    assert got == ["", "0", "P", "UNKNOWN", "UNKNOWN"]
+    numbers = spark.createDataFrame([(0, "yes"), (7, "no")], "project_id int, x string")
+    assert sorted(r.project_id for r in rq.resolve(numbers, rq.requirement_map(spark, rows)).collect()) == ["7", "UNKNOWN"]
+    context = rq.client_context(spark.createDataFrame([(False,), (True,)], "ready_for_cbre boolean"))
+    assert sorted(r.ready_for_cbre for r in context.collect()) == ["", "True"]
+
+
+def test_answers_are_not_shuffled_by_field(spark):
+    rows = [{"requirement_id": "R1", "requirement_name": "n", "category": "c", "severity": "low", "intake_field": "x", "default_status": "open"}]
+    answers = spark.createDataFrame([("1", "yes", "unasked")], "project_id string, x string, y string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = rq.resolve(answers, rq.requirement_map(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan and "unasked" not in plan
