@@ -32,7 +32,7 @@ MARK = "data-boilerplate"
 
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = set("script style noscript template head svg iframe object math canvas audio video".split())
+NO_TEXT = set("script style noscript template head title svg iframe object math canvas audio video".split())
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSED_BY_BLOCK = {"p"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
@@ -51,6 +51,8 @@ WORDS = {
     "form": "search login form feedback contact",
 }
 _CATEGORY = {w: k for k, ws in WORDS.items() for w in ws.split()}
+#: A tag that the page's end cuts off.
+_CUT_TAG = re.compile(r"<[a-zA-Z/!?][^<>]*\Z")
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 KINDS = ("container", "text", "heading", "item", "inline", "other")
 _KIND = {**dict.fromkeys("div section article main body html header footer nav aside form table tbody ul ol dl".split(), 0), **dict.fromkeys("p blockquote pre td figcaption".split(), 1), **dict.fromkeys("h1 h2 h3 h4 h5 h6".split(), 2), **dict.fromkeys("li dt dd tr th option".split(), 3), **dict.fromkeys(INLINE, 4)}
@@ -66,7 +68,7 @@ class Tree(HTMLParser):
         self.stack: list[tuple[str, int]] = []
         self.block, self.mute, self.link = 0, 0, 0
         self._node("html", [])
-        self.feed(html)
+        self.feed(_CUT_TAG.sub("", html))
         self.close()
 
     def _node(self, tag: str, attrs) -> int:

@@ -111,6 +111,9 @@ class _Page:
         head = r.choice([title, title, f"<header>{title}</header>", f'<div class="{r.choice(["entry-header", "post-header", "title"])}">{title}</div>', ""])
         inner = head + "".join(parts)
         tag, own = r.choice([("article", ""), ("article", ""), ("article", self.name(CONTENT_NAMES)), ("main", ""), ("div", self.name(CONTENT_NAMES)), ("section", self.name(CONTENT_NAMES))])
+        if r.random() < 0.12:
+            # no container at all, or one without a name
+            return r.choice([inner, f"<div>{inner}</div>"])
         inner = f"<{tag}{own}>{inner}</{tag}>"
         return r.choice([inner, inner, f"<main>{inner}</main>", f'<div id="page">{inner}</div>'])
 
