@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,6 +28,19 @@ def build_session(app: str = "kpiloom", master: str | None = None, shuffle_parti
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application; jobs whose tasks run Python call it first."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).resolve().parent
+        archive = shutil.make_archive(f"{tempfile.mkdtemp(prefix='kpiloom-')}/{package.name}", "zip", package.parent, package.name)
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Root for tables written between jobs: the folder the cluster names in spark.checkpoint.dir.
 
@@ -53,6 +68,7 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     For a result several branches of a plan start from: they then read this table instead of
     computing it again, also after an executor is lost.
     """
+    ship_package(df.sparkSession)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

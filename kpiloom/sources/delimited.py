@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.operators.cleaning import null_sentinels
+from kpiloom.session import ship_package
 
 # Delimiters told apart, and how many lines are looked at.
 DELIMITERS = ",\t;|"
@@ -101,6 +102,7 @@ def heads(spark: SparkSession, paths: list[str]) -> dict[str, tuple[list[str], s
 
     if not paths:
         return {}
+    ship_package(spark)
     listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(min(len(paths), spark.sparkContext.defaultParallelism))
     return {r.path: (list(r.lines), r.error) for r in listed.mapInArrow(read, "path string, lines array<string>, error string").toLocalIterator()}
 
