@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import exact_dedup, mixing, near_dup, packing, queries, toxicity
-from kpiloom.session import materialized, scratch_path
+from kpiloom.session import materialized, scratch_path, ship_package
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,6 +28,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies, that with the smallest doc_id."""
+    ship_package(spark)
     return near_dup.without_near_duplicates(docs)
 
 
@@ -44,6 +45,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents with the sequence they are packed into and their offset there."""
+    ship_package(spark)
     rows = docs.select("doc_id", "source", "lang", "text")
     cut = packing.pieces(rows, queries.vocabulary("word_bpe_49k.json"), "<|startoftext|>", False, end_id=0, length=queries.SEQUENCE)
     return packing.packed(cut, queries.SEQUENCE)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import ann, exact_dedup, html_extract, langid, mixing, near_dup, packing, sharding, toxicity, wavelet
-from kpiloom.session import scratch_path
+from kpiloom.session import scratch_path, ship_package
 
 SHARDS = 8
 SEED = 20240601
@@ -17,6 +17,7 @@ SEQUENCE = 2048
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

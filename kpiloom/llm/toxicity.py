@@ -30,8 +30,10 @@ from pyspark.sql import functions as F
 from kpiloom.session import materialized
 
 SAMPLE_TOXIC, SAMPLE_CLEAN = 4000, 8000
-#: A feature must be in that many documents, between that many pairs of neighbours, with that z-score of its log odds.
-LEAST_DOCUMENTS, LEAST_CONTEXTS, LEAST_Z = 4, 4, 4.0
+#: A feature must be in that many toxic documents, between that many pairs of neighbours, and that share of the sampled
+#: documents it is in must be toxic; that this share differs from the sample's must gain that much log likelihood, which
+#: less than one of a million features does by chance.
+LEAST_DOCUMENTS, LEAST_CONTEXTS, LEAST_SHARE, LEAST_GAIN = 4, 4, 0.75, 13.0
 #: Of more features than this, those with the highest scores are taken.
 MOST_FEATURES = 20_000
 PREFIXES = (4, 5, 6)
@@ -108,10 +110,10 @@ def fit(docs: DataFrame, grades: DataFrame, graded_by_count: bool = False) -> Se
 
     counted = learned.mapInArrow(document_counts, "feature string, bad long, good long").groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     bad, good = F.col("bad"), F.col("good")
-    other_bad, other_good = F.lit(totals[True]) - bad, F.lit(totals[False]) - good
-    odds = F.log((bad + 0.5) / (other_bad + 0.5)) - F.log((good + 0.5) / (other_good + 0.5))
-    z = odds / F.sqrt(1 / (bad + 0.5) + 1 / (good + 0.5) + 1 / (other_bad + 0.5) + 1 / (other_good + 0.5))
-    ranked = counted.where(bad >= LEAST_DOCUMENTS).withColumn("z", z).where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(MOST_FEATURES)
+    share = totals[True] / (totals[True] + totals[False])
+    gain = bad * F.log(bad / ((bad + good) * share)) + F.when(good > 0, good * F.log(good / ((bad + good) * (1 - share)))).otherwise(0.0)
+    often = counted.where((bad >= LEAST_DOCUMENTS) & (bad >= LEAST_SHARE * (bad + good)))
+    ranked = often.withColumn("gain", gain).where(F.col("gain") >= LEAST_GAIN).orderBy(F.desc("gain"), "feature").limit(MOST_FEATURES)
     typical = {r["feature"] for r in ranked.select("feature").collect()}
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
