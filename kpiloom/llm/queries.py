@@ -102,10 +102,38 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_exact_dedup": op10_exact_dedup,
 }
 
+def _network_sql(inner: str) -> str:
+    """One pass of the permutation over the column v of a relation that has low, high and n."""
+    for multiplier, offset in sharding.round_keys(SEED):
+        inner = (
+            f"SELECT row_number, n, (r << high) | xor(v >> low, (m2 >> 13) & ((1::BIGINT << high) - 1)) AS v, high AS low, low AS high FROM ("
+            f"SELECT *, (xor(m1, m1 >> 15) & 2147483647) * {multiplier} AS m2 FROM (SELECT *, r * {multiplier} + {offset} AS m1 FROM ("
+            f"SELECT *, v & ((1::BIGINT << low) - 1) AS r FROM ({inner}))))")
+    return inner
+
+
+#: CRC-32 byte by byte over a table of 256 remainders, the order by digest, and the walk as a recursion.
+_SHARDS_SQL = f"""
+    WITH RECURSIVE remainders AS (SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+          lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+    raw AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS size, hex(encode(coalesce(text, ''))) AS x FROM documents),
+    bytes AS (SELECT doc_id, size, list_transform(range(size), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT) AS b FROM raw),
+    sums AS (SELECT doc_id, size + 1 AS size, xor(list_reduce(list_prepend(4294967295, b), lambda a, y: xor(a >> 8, t[(xor(a, y) & 255) + 1])), 4294967295)::BIGINT AS text_crc32
+      FROM bytes, remainders),
+    keyed AS (SELECT *, ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '~') || '|' || size || '|' || text_crc32), 1, 15))::BIGINT AS digest FROM sums),
+    ranked AS (SELECT *, row_number() OVER (ORDER BY digest, doc_id NULLS FIRST, size, text_crc32) - 1 AS row_number, count(*) OVER () AS n FROM keyed),
+    domain AS (SELECT row_number, n, row_number AS v, b // 2 AS low, b - b // 2 AS high FROM (SELECT *, greatest(2, ceil(log2(greatest(n, 2)))::BIGINT) AS b FROM ranked)),
+    walk AS ({_network_sql("SELECT row_number, n, v, low, high FROM domain")}
+      UNION ALL {_network_sql("SELECT row_number, n, v, low, high FROM walk WHERE v >= n")})
+    SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (v % {SHARDS})::INTEGER AS shard, v // {SHARDS} AS slot, NULL::INTEGER AS grown_shard, row_number
+    FROM ranked JOIN walk USING (row_number) WHERE v < ranked.n"""
+
 ORACLES: dict[str, str] = {
+    "op1_shards": _SHARDS_SQL,
     "op9_neighbours": """
         WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-        d AS (SELECT q.vec_id AS query_id, c.vec_id, list_distance(q.e, c.e) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+        d AS (SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.e, c.e), lambda p: (p[2] - p[1]) * (p[2] - p[1])), lambda a, b: a + b)) AS score
+          FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
         r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM d)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op10_exact_dedup": """
