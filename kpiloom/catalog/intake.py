@@ -271,10 +271,11 @@ t AS (SELECT *, CASE WHEN error_count > 0 THEN 'fail' WHEN warning_count > 0 THE
 def _statuses(spark, folder) -> DataFrame:
     """Per-file statuses; the last batch is one where a required column is missing."""
     typed = _typed(spark, folder)
-    files = ic.table_counts(typed, SOURCE).select(*SOURCE, "rows_loaded", "rows_output").withColumn("load_warnings", F.lit(0).cast("bigint"))
+    counts = ic.table_counts(typed, SOURCE)
+    files = counts.select(*SOURCE, "rows_loaded", "rows_output").withColumn("load_warnings", F.lit(0).cast("bigint"))
     late = files.filter(F.col("source_file") == "batch_5.csv")
     missing = fnd.known_for_each(late, SOURCE, ic.name_findings(["a", "b"], COLS, ["lease_end"]))
-    return ic.file_statuses(files, ic.data_findings(typed, SOURCE).unionByName(missing), SOURCE).select(
+    return ic.file_statuses(files, ic.data_findings(typed, SOURCE, counts=counts).unionByName(missing), SOURCE).select(
         *SOURCE, "rows_loaded", "rows_output", "error_count", "warning_count", "status", "load_warnings")
 
 

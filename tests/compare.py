@@ -28,8 +28,10 @@ def database(folder: str):
 
 
 def plain(value):
-    if value is None or (isinstance(value, float) and math.isnan(value)):
+    if value is None:
         return "<null>"
+    if isinstance(value, float) and math.isnan(value):
+        return "<nan>"
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, (int, float, decimal.Decimal)):
