@@ -39,7 +39,7 @@ TARGET_RECALL = 0.99999
 #: Share of equal signature bytes from which two representatives may be one family; links have 0.8 and more of them.
 LIKELY = 0.6
 #: Representatives compared with each other in one group; larger groups are split into pairs of blocks.
-BLOCK = 1000
+BLOCK = 300
 SEED = 5
 #: Odd multipliers of the rolling hash and of the mixing steps.
 _BASE, _MIX = np.uint64(0x9E3779B97F4A7C15 | 1), (np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
@@ -172,19 +172,29 @@ def _roots(close: np.ndarray) -> np.ndarray:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """node, label: the smallest node connected to each node of the links (a, b)."""
-    edges = materialized(links.where("a <> b").select("a", "b").union(links.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = materialized(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")).select("node", "label"), "labels")
+    """node, label: the smallest node connected to each node of the links (a, b).
+
+    In every round a node takes the smallest node next to it, and links shrink to links between the nodes taken;
+    links within one are dropped. Rounds end when none is left, after about the logarithm of the longest path.
+    """
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges, placed = materialized(links.where("a <> b").select(*ends).distinct(), "edges"), None
     while True:
-        near = edges.join(labels, edges["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        # a node's label, then that label's own label
-        lower = labels.join(near, "node").select("node", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("node").alias("label"), F.col("label").alias("far"))
-        lower = materialized(lower.join(jump, "label", "left").select("node", "old", F.least("label", F.coalesce("far", "label")).alias("label")), "labels")
-        changed = not lower.where("old <> label").isEmpty()
-        labels = lower.select("node", "label")
-        if not changed:
-            return labels
+        turned = edges.union(edges.select("b", "a"))
+        near = materialized(turned.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")).select("node", "label"), "near")
+        jump = near.select(F.col("node").alias("label"), F.col("label").alias("far"))
+        near = materialized(near.join(jump, "label").select("node", F.least("label", "far").alias("label")), "near")
+        left = near.select(F.col("node").alias("a"), F.col("label").alias("la"))
+        right = near.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+        met = edges.join(left, "a").join(right, "b").where("la <> lb")
+        edges = materialized(met.select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).distinct(), "edges")
+        if placed is None:
+            placed = near
+        else:
+            later = near.select(F.col("node").alias("label"), F.col("label").alias("later"))
+            placed = materialized(placed.join(later, "label", "left").select("node", F.coalesce("later", "label").alias("label")), "labels")
+        if edges.isEmpty():
+            return placed
 
 
 def signed(docs: DataFrame) -> DataFrame:
