@@ -1,10 +1,11 @@
 """Token ids of whole texts through the tokenizers library, words encoded once.
 
 Both tokenizers used here never form a token across a space that a visible character follows. So a text is cut
-there, distinct words of a batch are looked up in a cache, and only new ones go through the library: many in one
-string, kept apart by a special token, which ends every segment. Texts whose spaces don't allow the cut, and words
-that hold the special token themselves, are encoded by the library as they are. The cache lives in the Python
-worker, is bounded, and starts anew when full; results don't depend on it.
+there, distinct words of a batch are looked up in a cache, and only new ones go through the library, many in one
+string. Where a word begins or ends is seen from its tokens; words whose tokens don't show it are kept apart by a
+special token, which ends every segment. Texts whose spaces don't allow the cut, and words that hold the special token
+themselves, are encoded by the library as they are. The cache lives in the Python worker, is bounded, and starts anew
+when full; results don't depend on it.
 """
 
 from __future__ import annotations
@@ -44,6 +45,9 @@ class TextEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator, self.separator_id, self.leading_space = separator, self.tokenizer.token_to_id(separator), leading_space
+        size = self.tokenizer.get_vocab_size()
+        shown = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.edge = np.array([t.startswith("\u0120") if leading_space else t.endswith("</w>") for t in shown])
         self._forget()
 
     def _forget(self) -> None:
@@ -87,7 +91,7 @@ class TextEncoder:
         if len(self.slots) > CACHE_WORDS:
             self._forget()
         words = pc.list_flatten(words_of).dictionary_encode()
-        distinct = words.dictionary.to_pylist()
+        distinct = words.dictionary.to_numpy(zero_copy_only=False).tolist()
         slots = np.fromiter(map(self.slots.get, distinct, repeat(-1)), np.int64, len(distinct))
         new = np.flatnonzero(slots < 0)
         if new.size:
@@ -102,25 +106,46 @@ class TextEncoder:
         return ids, np.diff(token_ends, prepend=0)
 
     def _learn(self, words: list[str]) -> np.ndarray:
-        odd = [w for w in words if self.separator in w]
-        clean = [w for w in words if self.separator not in w] if odd else words
-        strings = [self.separator.join(clean[i : i + WORDS_PER_STRING]) + self.separator for i in range(0, len(clean), WORDS_PER_STRING)]
-        ids = np.concatenate([*self.plain(strings), np.zeros(0, np.uint32)])
-        stops = np.flatnonzero(ids == self.separator_id)
-        if stops.size != len(clean):
-            raise ValueError(f"{stops.size} segments for {len(clean)} words")
-        lengths = np.diff(stops, prepend=-1) - 1
-        kept = ids[ids != self.separator_id]
+        """Slots of new words. Most go through the library as one running text whose tokens tell where a word begins or ends."""
+        simple, others, odd = [], [], []
+        for word in words:
+            if self.separator in word:
+                odd.append(word)
+            elif (word[:1] == " ") if self.leading_space else word.lower().isalpha():
+                simple.append(word)
+            else:
+                others.append(word)
+        ids, lengths = self._running(simple)
+        if lengths is None:
+            others, simple, lengths = others + simple, [], np.zeros(0, np.int64)
+        more, more_lengths = self._separated(others)
         single = self.plain(odd)
         base = len(self.slots)
-        all_lengths = np.concatenate([lengths, [len(s) for s in single]]).astype(np.int64)
+        all_lengths = np.concatenate([lengths, more_lengths, np.array([len(s) for s in single], np.int64)]).astype(np.int64)
         starts = len(self.ids) + np.cumsum(all_lengths) - all_lengths
-        self.ids = np.concatenate([self.ids, kept, *single]).astype(np.uint32)
+        self.ids = np.concatenate([self.ids, ids, more, *single]).astype(np.uint32)
         self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, all_lengths.astype(np.int32)])
-        self.slots.update(zip([*clean, *odd], range(base, base + len(words)), strict=True))
-        if not odd:
-            return np.arange(base, base + len(words))
-        return np.array([self.slots[w] for w in words])
+        self.slots.update(zip([*simple, *others, *odd], range(base, base + len(words)), strict=True))
+        return np.fromiter(map(self.slots.__getitem__, words), np.int64, len(words))
+
+    def _joined(self, words: list[str], between: str) -> np.ndarray:
+        strings = [between.join(words[i : i + WORDS_PER_STRING]) + between for i in range(0, len(words), WORDS_PER_STRING)]
+        return np.concatenate([*self.plain(strings), np.zeros(0, np.uint32)])
+
+    def _running(self, words: list[str]) -> tuple[np.ndarray, np.ndarray | None]:
+        """Words with their space begin with a token that has it; words of letters alone end with one that ends a word."""
+        ids = self._joined(words, "" if self.leading_space else " ")
+        edges = np.flatnonzero(self.edge[ids])
+        if edges.size != len(words):
+            return np.zeros(0, np.uint32), None
+        return ids, np.diff(edges, append=ids.size) if self.leading_space else np.diff(edges, prepend=-1)
+
+    def _separated(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self._joined(words, self.separator)
+        stops = np.flatnonzero(ids == self.separator_id)
+        if stops.size != len(words):
+            raise ValueError(f"{stops.size} segments for {len(words)} words")
+        return ids[ids != self.separator_id], np.diff(stops, prepend=-1) - 1
 
 
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
