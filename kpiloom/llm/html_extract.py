@@ -7,7 +7,10 @@ by level. Potentials are trained from marked pages by gradient ascent on the exa
 trees minus the counts the marginals expect.
 
 Text: character references are decoded, white space within a block is one space, blocks are trimmed and joined in page
-order by two line ends. Scripts, styles, templates and the head are no text.
+order by two line ends. Scripts, styles, templates, frames, titles and the head are no text. A head without an end tag
+ends before the first element or text that cannot stand in it. Formulas, drawings and what stands in for an object, a
+canvas, a medium or a script that does not run are text like any other: what is inside math or svg goes with the element
+around it and breaks no block, also the annotations of a formula.
 
 Defined results: null and empty pages, and pages without main text, give an empty text and 0 characters; broken and cut
 off markup is read as far as it goes; repeated rows give equal results; other columns pass through, one that has the name
@@ -32,11 +35,17 @@ MARK = "data-boilerplate"
 
 # Elements of HTML by their role.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-NO_TEXT = set("script style noscript template head title svg iframe object math canvas audio video".split())
+NO_TEXT = set("script style template head title iframe".split())
+#: What can stand in a head; anything else ends it.
+HEAD_ONLY = set("title meta link base style script noscript template".split())
+#: Content of another language, and elements around a text that stands in for something; they stand within a line.
+FOREIGN, FALLBACK = {"math", "svg"}, set("object canvas audio video noscript".split())
+#: Foreign elements that are set apart from the text before them.
+APART = {"text", "mtd"}
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 CLOSED_BY_BLOCK = {"p"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "tfoot": {"tr", "td", "th", "tbody"}}
-SCOPES = {"ul", "ol", "dl", "table", "td", "th", "div", "article", "section", "main", "body", "html", "nav", "aside", "header", "footer", "form", "select", "blockquote"}
+SCOPES = {"ul", "ol", "dl", "table", "td", "th", "div", "article", "section", "main", "body", "html", "nav", "aside", "header", "footer", "form", "select", "blockquote", "object"}
 TAGS = "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody tr td th blockquote pre figure figcaption nav header footer aside form fieldset button textarea select option a span label details summary address hr dialog".split()
 WORDS = {
     "content": "article content post entry story main text prose blog body",
@@ -65,13 +74,13 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parent, self.tag, self.names, self.marked, self.text, self.linked, self.hidden = [], [], [], [], [], [], []
         self.pieces: list[tuple[int, int, str]] = []
-        self.stack: list[tuple[str, int]] = []
-        self.block, self.mute, self.link = 0, 0, 0
+        self.stack: list[tuple[str, int, bool]] = []  # tag, node, whether it stands within a line
+        self.block, self.mute, self.link, self.foreign = 0, 0, 0, 0
         self._node("html", [])
         self.feed(_CUT_TAG.sub("", html))
         self.close()
 
-    def _node(self, tag: str, attrs) -> int:
+    def _node(self, tag: str, attrs, within: bool = False) -> int:
         at = {k: v or "" for k, v in attrs}
         above = self.stack[-1][1] if self.stack else -1
         self.parent.append(above)
@@ -81,14 +90,15 @@ class Tree(HTMLParser):
         self.hidden.append("hidden" in at or at.get("aria-hidden") == "true" or "display:none" in at.get("style", "").replace(" ", "").lower())
         self.text.append(0)
         self.linked.append(0)
-        self.stack.append((tag, len(self.parent) - 1))
+        self.stack.append((tag, len(self.parent) - 1, within))
         return len(self.parent) - 1
 
     def _pop(self, to: int) -> None:
-        for tag, _ in self.stack[to:]:
+        for tag, _, within in self.stack[to:]:
             self.link -= tag == "a"
             self.mute -= tag in NO_TEXT
-            if tag not in INLINE:
+            self.foreign -= tag in FOREIGN
+            if not within:
                 self.block += 1
         del self.stack[to:]
 
@@ -97,7 +107,13 @@ class Tree(HTMLParser):
             return
         if tag == "body" and self.mute:
             self._pop(1)
-        if tag not in INLINE:
+        if tag not in HEAD_ONLY:
+            self._end_head()
+        if self.foreign and tag in TAGS and tag not in INLINE:
+            self._leave_foreign()
+        part = self.foreign > 0 and tag not in TAGS
+        within = part or tag in INLINE or tag in FOREIGN or tag in FALLBACK
+        if not within:
             self.block += 1
             if tag not in NO_TEXT and tag not in VOID:
                 self._close_nearest(CLOSED_BY_BLOCK)
@@ -107,13 +123,30 @@ class Tree(HTMLParser):
             if tag == "br":
                 self.handle_data(" ")
             return
-        if tag in INLINE and not any(k in ("class", "id", "role", "hidden", "style", MARK) for k, _ in attrs):
+        if part or (within and not any(k in ("class", "id", "role", "hidden", "style", MARK) for k, _ in attrs)):
             # a plain inline element belongs to the element around it
-            self.stack.append((tag, self.stack[-1][1]))
+            self.stack.append((tag, self.stack[-1][1], True))
         else:
-            self._node(tag, attrs)
+            self._node(tag, attrs, within)
+        if part and tag in APART:
+            self.handle_data(" ")
         self.link += tag == "a"
         self.mute += tag in NO_TEXT
+        self.foreign += tag in FOREIGN
+
+    def _end_head(self) -> None:
+        """Ends a head that is the innermost open element."""
+        if self.stack[-1][0] == "head":
+            self._pop(len(self.stack) - 1)
+
+    def _leave_foreign(self) -> None:
+        """Ends foreign content at an element of HTML, unless that stands where HTML may stand in it."""
+        for i in range(len(self.stack) - 1, 0, -1):
+            if self.stack[i][0] in ("foreignobject", "annotation-xml", "desc", "mtext") or not self.stack[i][2]:
+                return
+            if self.stack[i][0] in FOREIGN:
+                self._pop(i)
+                return
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -134,12 +167,14 @@ class Tree(HTMLParser):
             if self.stack[i][0] == tag:
                 self._pop(i)
                 return
-            if tag in INLINE and self.stack[i][0] not in INLINE:
+            if tag in INLINE and not self.stack[i][2]:
                 return
         if tag not in INLINE:
             self.block += 1
 
     def handle_data(self, data):
+        if self.mute and data.strip():
+            self._end_head()
         if self.mute or not data:
             return
         owner = self.stack[-1][1]

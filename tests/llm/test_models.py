@@ -95,6 +95,34 @@ def test_pages_by_hand(extractor):
     assert html_extract.main_texts(extractor, list(PAGES)) == list(PAGES.values())
 
 
+OPEN_HEADS = {
+    "<html><head><title>T</title><article><h1>Name</h1><p>One two three four five six.</p></article>": "Name\n\nOne two three four five six.",
+    "<html><head><title>T</title><meta charset=utf-8><noscript><img src=x></noscript><style>p{}</style><main><p>One two three four five six.</p></main>": "One two three four five six.",
+    "<html><head><title>T</title></head><body><article><p>One two three four five six.</p></article>": "One two three four five six.",
+}
+PARTS = {
+    "<p>The law <math><mi>E</mi><mo>=</mo><mi>m</mi><msup><mi>c</mi><mn>2</mn></msup></math> holds in every frame.</p>": "The law E=mc2 holds in every frame.",
+    "<p>The law <math class='wide' display='block'><mi>E</mi><mo>=</mo><mn>1</mn></math> holds in every frame.</p>": "The law E=1 holds in every frame.",
+    "<p>A drawing <svg width=9><style>g{}</style><title>tip</title><g><path d=M0><text>of a</text><text>house</text></g></svg> stands here.</p>": "A drawing of a house stands here.",
+    "<p>An icon <svg><path d=M0>left open.</p><p>The next one.</p>": "An icon left open.\n\nThe next one.",
+    "<p>Shown as <object data=x>a table of words</object> and <canvas>a curve of them</canvas> here.</p>": "Shown as a table of words and a curve of them here.",
+    "<p>Heard as <audio src=x>a song of old</audio>, seen as <video src=x>a film of it</video>.</p>": "Heard as a song of old, seen as a film of it.",
+    "<noscript><p>Words for all who run no scripts.</p></noscript><p>More words for them.</p>": "Words for all who run no scripts.\n\nMore words for them.",
+    "<object data=x><p>First <b>of two.</p><p>Second of two.</object><p>After them both.</p>": "First of two.\n\nSecond of two.\n\nAfter them both.",
+}
+
+
+def test_head_without_end(extractor):
+    assert html_extract.main_texts(extractor, list(OPEN_HEADS)) == list(OPEN_HEADS.values())
+    text = html_extract.Tree("<head><title>T</title> <meta charset=utf-8> bare words <p>and more")
+    assert text.extracted(np.ones(len(text.parent), bool)) == "bare words\n\nand more"
+
+
+def test_formulas_drawings_and_fallbacks_are_text(extractor):
+    pages = [f"<html><head><title>T</title></head><body><article><h1>Name</h1><p>Words before it.</p>{p}</article></body></html>" for p in PARTS]
+    assert html_extract.main_texts(extractor, pages) == [f"Name\n\nWords before it.\n\n{t}" for t in PARTS.values()]
+
+
 def test_held_out_pages(extractor):
     pages = html_pages.marked_pages(150, 77)
     trees = [html_extract.Tree(p) for p in pages]
