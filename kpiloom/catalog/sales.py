@@ -114,6 +114,22 @@ def products_bought_again(spark, folder):
     return sa.repeat_customers(orders(spark, folder).where("quantity > 48").withColumn("customer_id", F.col("product_id")))
 
 
+# AGG13 and AGG16 over all order lines.
+@query("AGG13_all", WITH + f"SELECT {S.cents('sum(quantity * 100 + sales)')} AS total_revenue, {S.cents('sum(profit - discount * 100)')} AS total_profit, "
+       f"{S.money('sum(profit - discount * 100)::DOUBLE / nullif(sum(quantity * 100 + sales)::DOUBLE, 0) * 100')} AS profit_margin_pct FROM sales")
+def totals_with_charges(spark, folder):
+    """A charge per piece is added to the revenue, and a cost of the discount is taken from the profit."""
+    charged = {"sales": F.col("quantity") * 100 + F.col("sales"), "profit": F.col("profit") - F.col("discount") * 100}
+    return sa.revenue_totals(orders(spark, folder).withColumns({k: v.cast("decimal(14,2)") for k, v in charged.items()}))
+
+
+@query("AGG16_all", WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat Customer' END AS customer_type, count(*) AS number_of_customers "
+       "FROM (SELECT customer_id, product_id, count(DISTINCT order_id) AS n FROM sales GROUP BY customer_id, product_id) GROUP BY 1")
+def products_bought_again_by_a_customer(spark, folder):
+    """Every product of a customer, bought in one order or in more."""
+    return sa.repeat_customers(orders(spark, folder).withColumn("customer_id", F.struct("customer_id", "product_id")))
+
+
 @query("LIM1", WITH + f"SELECT ship_mode AS product_name, {S.cents('sum(sales)')} AS total_sales FROM sales GROUP BY 1 ORDER BY total_sales DESC, product_name LIMIT 2")
 def top_shipping(spark, folder):
     modes = orders(spark, folder).select(F.col("ship_mode").alias("product_id"), "sales", "profit")
