@@ -5,7 +5,8 @@ expected severity is the sum of those probabilities over the grades. Features ar
 that occur in graded documents of grade 1 and above far more often than in others. Each counts as log2(1 + n).
 
 The model is fitted on a bounded sample: at most SAMPLE_TOXIC documents with a grade above 0 and SAMPLE_CLEAN with
-grade 0, those with the smallest digests of their ids. Everything else covers whole texts of all documents.
+grade 0, those with the smallest digests of their ids; of several rows with one id, the text with the smallest digest.
+Everything else covers whole texts of all documents.
 
 A word of a document that was copied often looks typical of its label. So a feature must also occur between enough
 different neighbouring words: copies repeat their neighbours.
@@ -81,12 +82,14 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str | None, int]]
 
 
 def sample(docs: DataFrame, grades: DataFrame) -> DataFrame:
-    """Bounded sample of graded documents: text, grade. grades: doc_id, grade."""
+    """Bounded sample of graded documents: text, grade; one row for each id. grades: doc_id, grade."""
     graded = grades.where("doc_id IS NOT NULL AND grade IS NOT NULL").groupBy("doc_id").agg(F.max("grade").cast("int").alias("grade"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     ids = graded.where("grade > 0").orderBy(*order).limit(SAMPLE_TOXIC).union(graded.where("grade <= 0").orderBy(*order).limit(SAMPLE_CLEAN))
     # at most SAMPLE_TOXIC + SAMPLE_CLEAN rows of two numbers
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "grade")
+    met = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    # copies of an id are combined on the map side
+    return met.groupBy("doc_id").agg(F.min_by("text", F.sha2("text", 256)).alias("text"), F.max("grade").alias("grade")).select("text", "grade")
 
 
 def fit(docs: DataFrame, grades: DataFrame, graded_by_count: bool = False) -> SeverityModel:

@@ -194,6 +194,23 @@ def test_toxicity_without_labels(spark):
     assert toxicity.scored(docs.limit(0), model).collect() == []
 
 
+def test_samples_hold_one_row_of_an_id(spark):
+    copies = [(1, f"words of copy {i}", "en") for i in range(50)] + [(1, None, "en")]
+    docs = spark.createDataFrame(copies + [(i, f"text {i}", "en") for i in range(2, 40)], "doc_id long, text string, lang string").repartition(4)
+    grades = spark.createDataFrame([(i, i % 2) for i in range(1, 30)], "doc_id long, grade int")
+    got = [r["text"] for r in toxicity.sample(docs, grades).collect()]
+    assert len(got) == 29 and sum(t.startswith("words of copy") for t in got) == 1
+    got = [r["doc_id"] for r in langid.sample(docs).collect()]
+    want = {r["doc_id"] for r in docs.where(~langid.held_out(docs["doc_id"])).collect()}
+    assert sorted(got) == sorted(want) and 1 in want
+
+
+def test_a_repeated_id_takes_one_place_of_its_language(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 5)
+    docs = spark.createDataFrame([(i, "text", "en") for i in range(40) for _ in range(10)], "doc_id long, text string, lang string")
+    assert langid.sample(docs).count() == 5
+
+
 def test_gradients_through_time():
     rng = np.random.default_rng(6)
     network = langid.ByteNetwork.new(["a", "b", "c"], hidden=3)
