@@ -122,8 +122,12 @@ def exact_quartiles(spark, folder):
     return table.withColumns({c: F.rint(F.col(c) * 10000) / 10000 for c in ("q1", "q3")})
 
 
+def findings_of(spark, folder):
+    return mc.metric_findings(Normalized(flawed(spark, folder)), MARKET_METRICS)
+
+
 def summary_of(spark, folder):
-    return mc.validation_summary(mc.metric_findings(Normalized(flawed(spark, folder)), MARKET_METRICS))
+    return mc.validation_summary(findings_of(spark, folder))
 
 
 SUMMARY_SQL = _OUTLIERS + """, counts AS (SELECT

@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 from kpiloom.catalog import sql as S
 from kpiloom.catalog.insights import fixed_decimals, long_of, market_long
 from kpiloom.catalog.intake import SOURCE, plain_messy
-from kpiloom.catalog.quality import SUMMARY_SQL, summary_of
+from kpiloom.catalog.quality import SUMMARY_SQL, findings_of
 from kpiloom.catalog.registrar import query
 from kpiloom.operators import cleaning as cl
+from kpiloom.operators import metric_checks as mc
 from kpiloom.operators.insights import period_insights
 from kpiloom.operators.rollups import metric_dictionary
+from kpiloom.operators.schema import Normalized
 from kpiloom.operators.serving import described
 from kpiloom.operators.snapshot import at_level, report_summary
 from kpiloom.plans import views
@@ -84,8 +86,8 @@ def bundle(spark, folder, with_dictionary: bool) -> rp.Bundle:
     sk.write_csv(long, f"{path}/long_metrics.csv")
     if with_dictionary:
         sk.write_csv(metric_dictionary(spark, READINESS_METRICS), f"{path}/metric_dictionary.csv")
-    empty = F.array().cast("array<string>")
-    sk.write_json(long.limit(1).select(F.lit("passed").alias("status"), empty.alias("errors"), empty.alias("warnings")), f"{path}/validation_report.json")
+    findings = mc.metric_findings(Normalized(views.requirements(spark, folder)), READINESS_METRICS)
+    sk.write_json(mc.validation_report(findings), f"{path}/validation_report.json")
     return rp.load_bundle(spark, path)
 
 
@@ -178,8 +180,9 @@ def table_named(spark, folder):
 
 @query("SNK6", SUMMARY_SQL)
 def report_written(spark, folder):
-    path = sk.write_json(summary_of(spark, folder), scratch_path(spark, "status"))
-    return spark.read.schema("status string, error_count bigint, warning_count bigint").json(path)
+    """The report holds the messages; its counts are those of the lists read back."""
+    report = rp.load_status(spark, sk.write_json(mc.validation_report(findings_of(spark, folder)), scratch_path(spark, "status")))
+    return report.select("status", *[F.size(c).cast("bigint").alias(n) for c, n in (("errors", "error_count"), ("warnings", "warning_count"))])
 
 
 @query("SRV3_stored", S.market(changes=True) + "SELECT date, provider, region, metric_id, value FROM long WHERE rollup_level = 'date_only'")

@@ -147,6 +147,17 @@ def validation_summary(findings: DataFrame) -> DataFrame:
     return fnd.counts_of(findings).select(fnd.status_of(STATUSES).alias("status"), "error_count", "warning_count")
 
 
+def validation_report(findings: DataFrame) -> DataFrame:
+    """One row: status, errors and warnings as lists of messages (a few per declared column and check)."""
+    def messages(severity: str) -> Column:
+        rows = F.collect_list(F.when(F.col("severity") == severity, F.struct("check", "column", "message")))
+        return F.transform(F.array_sort(rows), lambda r: r["message"])
+
+    lists = findings.agg(messages(fnd.ERROR).alias("errors"), messages(fnd.WARNING).alias("warnings"))
+    counted = lists.withColumns({"error_count": F.size("errors"), "warning_count": F.size("warnings")})
+    return counted.select(fnd.status_of(STATUSES).alias("status"), "errors", "warnings")
+
+
 class ValidationFailed(RuntimeError):
     """The facts have errors; metrics were not computed."""
 

@@ -57,6 +57,11 @@ def read_facts(spark: SparkSession, path: str, **options) -> DataFrame:
     return require_rows(spark.read.parquet(path) if kind == "parquet" else read_delimited(spark, path, **options), path)
 
 
+def load_status(spark: SparkSession, path: str) -> DataFrame:
+    """A validation report: status, errors and warnings."""
+    return spark.read.schema(STATUS_SCHEMA).option("multiLine", True).json(path)
+
+
 @dataclass
 class Bundle:
     long: DataFrame
@@ -90,7 +95,7 @@ def load_bundle(spark: SparkSession, folder: str, long_schema: str | None = None
         wide=or_empty(spark, f"{folder}/wide_metrics.csv", wide_schema or "rollup_level string, date string",
                       lambda p: spark.read.option("header", True).csv(p) if not wide_schema else csv(wide_schema)(p)),
         dictionary=or_empty(spark, f"{folder}/metric_dictionary.csv", DICTIONARY_SCHEMA, csv(DICTIONARY_SCHEMA)),
-        status=spark.read.schema(STATUS_SCHEMA).option("multiLine", True).json(status_path),
+        status=load_status(spark, status_path),
     )
 
 

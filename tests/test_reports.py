@@ -6,7 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
+from kpiloom.operators import findings as fnd
 from kpiloom.operators import insights as ins
+from kpiloom.operators import metric_checks as mc
 from kpiloom.operators import requirements as rq
 from kpiloom.operators import serving as sv
 from kpiloom.operators import snapshot as sn
@@ -177,6 +180,22 @@ def test_report_files(spark, tmp_path, text_file):
     assert tuple(rp.load_summary(spark, path).first()) == ("", 0, 0, "", 4, "2024-01-01", "")
 
 
+@pytest.mark.parametrize("name", ["SNK6", "SRC6"])
+def test_written_status_holds_the_messages(spark, monkeypatch, name):
+    written = []
+    monkeypatch.setattr(sk, "write_json", lambda df, path, write=sk.write_json: written.append(write(df, path)) or path)
+    entry.queries()[name](spark, "/root/testdata/sf0.001").first()
+    report = rp.load_status(spark, written[0]).first()
+    assert report.status == ("failed" if name == "SNK6" else "passed_with_warnings")
+    assert "Null values found in metric input column: 'revenue'" in report.errors or name == "SRC6" and report.errors == []
+    assert report.warnings and all("share the same date" in w or "row(s)" in w or "outlier value(s)" in w for w in report.warnings)
+
+
+def test_report_of_no_findings(spark):
+    empty = spark.createDataFrame([], fnd.SCHEMA)
+    assert tuple(mc.validation_report(empty).first()) == ("passed", [], [])
+
+
 def test_fact_files(spark, tmp_path, text_file):
     with pytest.raises(LoadError):
         rp.read_facts(spark, text_file("empty.csv", "a,b\n"))
