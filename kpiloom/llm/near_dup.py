@@ -1,18 +1,24 @@
-"""Near duplicates: a Jaccard join over word 5-grams by a MinHash LSH forest, verified exactly.
+"""Near duplicates: a Jaccard join over word 5-grams by MinHash banding, verified exactly.
 
 1. Every text becomes the set of its 5-grams of words (lower case; letters, digits and underscores make words), hashed
    to 64 bits. Texts with equal sets are copies: one of them stands for all, the others only count.
-2. A representative's MinHash signature is cut into trees. In a tree, representatives sorted by signature form a trie;
-   those below one prefix are candidates. The prefix is shortened, from the tree's full depth, until a pair at the
-   threshold shares one in some tree with the target recall.
-3. Representatives below one prefix are compared by signature, in blocks, and joined into families; of a group only a
-   spanning forest is emitted, never its pairs. Connected families follow by passing on the smallest label.
+2. A representative's MinHash signature is cut into TREES bands of one fixed depth: the longest, up to DEPTH, at which a
+   pair at the threshold is equal in some band with the target recall. It follows from these constants alone (4 hashes).
+   Representatives equal in a band are candidates. This is no LSH forest: no signatures are sorted and no prefix is
+   shortened by row. A forest cut at that depth has the same candidates, as those with a longer common prefix share the
+   shorter one too; equal keys are found by one shuffle, counted on the map side.
+3. Representatives equal in a band are compared by signature, in blocks, and joined into families; of a group only a
+   spanning forest is emitted, never its pairs. Connected families follow by passing on the smallest label. Pairs with
+   less than LIKELY equal signature bytes are not joined here.
 4. Within a family every pair is verified exactly on the sets rebuilt from the texts; a large family is split into
    blocks, and each pair of blocks is a group of its own. A group emits one row per document: how many links it has,
    and a representative that it is connected to. Classes are the connected components of the verified links.
 
 So links are counted, not listed: a group of n near copies costs n rows per block, though n^2 comparisons.
 
+The result is not exact: a pair at the threshold is equal in no band with probability 3.2e-6, and has less than LIKELY
+equal signature bytes with probability 2.7e-6; it is lost unless others join its family. More similar pairs are lost less.
+
 Defined results: null and empty texts, and texts without words, have no 5-grams and no links and are classes of their
 own; a text of one to four words has one gram of all its words; a null doc_id stays null, in a class named by the
 smallest other id if there is one; repeated rows are copies. An empty table gives an empty result.
