@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiloom.llm import ann, exact_dedup, html_extract, langid, mixing, near_dup, packing, sharding, toxicity, wavelet
+from kpiloom.llm import ann, decontam, exact_dedup, expected, html_extract, langid, manifest, mixing, near_dup, packing, runs, sharding, toxicity, wavelet
 from kpiloom.session import scratch_path, ship_package
 
 SHARDS = 8
@@ -89,6 +90,43 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return added.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents whose id's checksum is divisible by ten repeat their words from some place on, with some period."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n, g = F.size(words), F.floor(h / 10)
+    start = F.pmod(g, n)
+    period = 1 + F.floor((n - start) / (3 + F.pmod(g, F.lit(8))))
+    repeated = F.array_join(F.transform(words, lambda w, i: F.when(i < start, w).otherwise(F.element_at(words, (start + F.pmod(i - start, period) + 1).cast("int")))), " ")
+    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), repeated).otherwise(F.col("text")))
+
+
+def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = planted_runs(table(spark, folder, "documents").select("doc_id", "text"))
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period"))))
+    return runs.with_runs(docs, keep=["doc_id"]).withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.less")).alias("length"), F.col("longest.period").alias("period"),
+        F.expr("-longest.less * 1000 div longest.period").alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(line, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontam.overlaps(table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "benchmark"), keep=["doc_id"])
+    return found.select(
+        "doc_id", "n_words", decontam.covered(F.col("spans")).alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"))
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    shown = F.when(tampered, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    leaves = manifest.leaves_of(docs, ["doc_id", "source", "lang", "n_chars", "text"], "doc_id", "source", {"text": shown})
+    return manifest.climbed(manifest.build(leaves)).select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op2_mix": op2_mix,
@@ -100,8 +138,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pack": op8_pack,
     "op9_neighbours": op9_neighbours,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_runs": op11_runs,
+    "op12_decontaminate": op12_decontaminate,
+    "op13_manifest": op13_manifest,
 }
 
+
 def _network_sql(inner: str) -> str:
     """One pass of the permutation over the column v of a relation that has low, high and n."""
     for multiplier, offset in sharding.round_keys(SEED):
@@ -140,4 +182,6 @@ ORACLES: dict[str, str] = {
         WITH d AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
         SELECT doc_id, min(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = min(doc_id) OVER w AS kept, text_sha256
         FROM d WINDOW w AS (PARTITION BY text_sha256)""",
+    "op12_decontaminate": expected.decontamination(decontam.WINDOW),
+    "op13_manifest": expected.manifest(manifest.FAN),
 }
