@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import ann, decontam, exact_dedup, expected, html_extract, langid, manifest, mixing, near_dup, packing, runs, sharding, toxicity, wavelet
@@ -93,12 +93,19 @@ def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def planted_runs(docs: DataFrame) -> DataFrame:
     """Documents whose id's checksum is divisible by ten repeat their words from some place on, with some period."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        start = F.pmod(g, n)
+        period = 1 + F.floor((n - start) / (3 + F.pmod(g, F.lit(8))))
+        place = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < start, i).otherwise(start + F.pmod(i - start, period)).cast("int"))
+        return F.when(n > 0, F.array_join(F.transform(place, lambda i: F.get(words, i)), " "))
+
+    # the words are bound by a lambda, so that they are cut once a text and not once a word
     words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n, g = F.size(words), F.floor(h / 10)
-    start = F.pmod(g, n)
-    period = 1 + F.floor((n - start) / (3 + F.pmod(g, F.lit(8))))
-    repeated = F.array_join(F.transform(words, lambda w, i: F.when(i < start, w).otherwise(F.element_at(words, (start + F.pmod(i - start, period) + 1).cast("int")))), " ")
-    return docs.withColumn("text", F.when((h % 10 == 0) & (n > 0), repeated).otherwise(F.col("text")))
+    changed = F.transform(F.array(words), repeated)[0]
+    return docs.withColumn("text", F.when(h % 10 == 0, F.coalesce(changed, F.col("text"))).otherwise(F.col("text")))
 
 
 def op11_runs(spark: SparkSession, folder: str) -> DataFrame:
