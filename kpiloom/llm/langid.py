@@ -4,7 +4,8 @@ Two gated recurrent layers (update gate, reset gate, candidate) read a text's UT
 over both states labels every position, and a document's probabilities are the mean of its positions'. Long texts are
 read in segments of SEGMENT bytes, all of them. The network is trained here in numpy by backpropagation through time
 (Adam on the cross-entropy of every position), on a bounded sample: SAMPLE_PER_LANGUAGE documents of each language,
-those with the smallest digests of their ids, SEGMENTS_PER_DOCUMENT segments each; of several rows with one id and
+those with the smallest digests of their ids, SEGMENTS_PER_DOCUMENT segments of TRAIN_BYTES characters each, of which the first
+2 x TRAIN_BYTES bytes are learned from (a script of three bytes a letter loses a third, perhaps inside a letter); of several rows with one id and
 language, the text with the smallest digest. Its only input are bytes.
 
 Defined results: texts that are null or have no letter are `und` with score 0; rows without a language or an id are

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiloom.llm import ann, decontam, exact_dedup, expected, html_extract, langid, manifest, mixing, near_dup, packing, runs, sharding, toxicity, wavelet
-from kpiloom.session import scratch_path, ship_package
+from kpiloom.session import materialized, scratch_path, ship_package
 
 SHARDS = 8
 SEED = 20240601
@@ -84,10 +85,14 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents come in two batches; copies are counted over both."""
     path = scratch_path(spark, "digests")
-    index = exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path)
-    added = index.add(table(spark, folder, "documents").select("doc_id", "text"))
-    return added.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    with exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path) as index:
+        batches = exact_dedup.in_two_batches(table(spark, folder, "documents").select("doc_id", "text"))
+        added = [index.add(docs, name).drop("text", "group_size") for name, docs in batches.items()]
+    rows = materialized(reduce(DataFrame.union, added), "deduplicated")
+    sizes = rows.groupBy(F.col("text_sha256").alias("of")).agg(F.count(F.lit(1)).alias("group_size"))
+    return rows.join(sizes, F.col("text_sha256") == F.col("of")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 def planted_runs(docs: DataFrame) -> DataFrame:

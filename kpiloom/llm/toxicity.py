@@ -6,7 +6,8 @@ that occur in graded documents of grade 1 and above far more often than in other
 
 The model is fitted on a bounded sample: at most SAMPLE_TOXIC documents with a grade above 0 and SAMPLE_CLEAN with
 grade 0, those with the smallest digests of their ids; of several rows with one id, the text with the smallest digest.
-Everything else covers whole texts of all documents.
+Of the features that qualify in it, the MOST_FEATURES that tell most about the grade are used. Everything else covers whole texts of
+all documents.
 
 A word of a document that was copied often looks typical of its label. So a feature must also occur between enough
 different neighbouring words: copies repeat their neighbours.

@@ -6,9 +6,9 @@ every plane one file answers: the id at a place (`access`), how often an id occu
 and where its k-th occurrence is (`select`, `occurrences`); `decode` gives all ids back. Planes are packed bits with
 one running count per 512, and every section is compressed on its own.
 
-Documents are dealt to shards by ranges of (doc_id, digest of the text), so that many rows with one doc_id don't meet
-in one shard. A task writes its file under a name of its own attempt and then moves it to the shard's name, so a
-repeated task replaces an equal file.
+Documents are dealt to shards by ranges of (doc_id, digest of the text, place in the input), so that neither many rows with
+one doc_id nor many equal rows meet in one shard. Spark stores the files, one row (shard, file, documents, tokens) each, so any
+folder that Spark can open serves, and a repeated task leaves nothing behind.
 
 Defined results: a null text is an empty one, which has only the end id; a null doc_id comes first; repeated rows are
 stored each on its own; an empty table gives no shards and an empty result. Other columns are not stored.
@@ -18,13 +18,11 @@ from __future__ import annotations
 
 import json
 import struct
-import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs as pafs
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -180,13 +178,13 @@ class Shard:
 
 
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, separator: str, leading_space: bool, end_id: int, text_column: str = "text") -> DataFrame:
-    """Writes one file per shard; returns one row per shard: shard, path, documents, tokens, start."""
+    """Writes one file per shard to the folder; returns one row per shard: shard, file, documents, tokens, start."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, -(-total // SHARD_BYTES))
-    digest = F.xxhash64("text").alias("digest")
-    dealt = rows.select("doc_id", digest, "text").repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "digest")
-    ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest").select(F.spark_partition_id().alias("shard"), "doc_id", "text")
+    keyed = rows.select("doc_id", F.xxhash64("text").alias("digest"), F.monotonically_increasing_id().alias("at"), "text")
+    dealt = keyed.repartitionByRange(shards, F.col("doc_id").asc_nulls_first(), "digest", "at")
+    ordered = dealt.sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "digest", "at").select(F.spark_partition_id().alias("shard"), "doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, counts, names, shard = [], [], [], None
@@ -203,44 +201,30 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, separator: str, l
         own = pa.chunked_array(names).combine_chunks()
         made = Shard(WaveletMatrix.of(np.concatenate(ids)), own.fill_null(0).to_numpy(), own.is_valid().to_numpy(zero_copy_only=False), np.concatenate(counts))
         ids.clear()
-        path = f"{folder}/shard-{shard:06d}.wvm"
-        _store(path, made.to_bytes())
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "path": [path], "documents": pa.array([made.lengths.size], pa.int64()), "tokens": pa.array([made.matrix.size], pa.int64())})
+        yield pa.RecordBatch.from_pydict({
+            "shard": pa.array([shard], pa.int32()), "documents": pa.array([made.lengths.size], pa.int64()), "tokens": pa.array([made.matrix.size], pa.int64()),
+            "file": pa.array([made.to_bytes()], pa.binary())})
 
-    written = materialized(ordered.mapInArrow(write, "shard int, path string, documents long, tokens long"), "shards")
+    schema = "shard int, documents long, tokens long, file binary"
+    ordered.mapInArrow(write, schema).write.parquet(folder)
+    written = docs.sparkSession.read.schema(schema).parquet(folder)
     # one row per shard
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    return written.withColumn("start", F.coalesce(F.sum("tokens").over(before), F.lit(0)))
-
-
-def _store(path: str, raw: bytes) -> None:
-    files, place = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    files.create_dir(place.rsplit("/", 1)[0], recursive=True)
-    own = f"{place}.{uuid.uuid4().hex}"
-    with files.open_output_stream(own) as out:
-        out.write(raw)
-    files.move(own, place)
-
-
-def load(path: str) -> Shard:
-    files, place = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-    with files.open_input_stream(place) as source:
-        return Shard.from_bytes(source.read())
+    before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
+    starts = written.select(F.col("shard").alias("of"), "tokens").select("of", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
+    return written.join(starts, F.col("shard") == F.col("of")).drop("of")
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
     """Every document of the shard files: doc_id, start, n_tokens, ids_crc32, shard."""
-    paths = shards.select("shard", "path", "start")
-    spread = paths.repartition(max(1, shards.count()), "shard")
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, path, start in zip(*(batch.column(c).to_pylist() for c in ("shard", "path", "start")), strict=True):
-                held = load(path)
+            for k, (shard, start) in enumerate(zip(batch.column("shard").to_pylist(), batch.column("start").to_pylist(), strict=True)):
+                held = Shard.from_bytes(batch.column("file")[k].as_py())
                 raw = memoryview(held.matrix.decode().astype("<u4").tobytes())
                 sums = np.fromiter((zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(held.starts.tolist(), held.lengths.tolist(), strict=True)), np.int64, held.lengths.size)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": pa.array(held.doc_ids, mask=~held.known), "start": pa.array(held.starts + start), "n_tokens": pa.array(held.lengths),
                     "ids_crc32": pa.array(sums), "shard": pa.array(np.full(sums.size, shard, np.int32))})
 
-    return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")
+    return shards.select("shard", "start", "file").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long, shard int")

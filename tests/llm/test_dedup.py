@@ -22,7 +22,7 @@ SCHEMA = "doc_id long, text string, kept string"
 
 
 def test_exact_groups_against_brute_force(spark):
-    got = index(spark).add(spark.createDataFrame(DOCS, SCHEMA)).collect()
+    got = index(spark).add(spark.createDataFrame(DOCS, SCHEMA), "one").collect()
     groups = collections.defaultdict(list)
     for doc, text, _ in DOCS:
         groups[hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", text or "").encode()).hexdigest()].append(doc)
@@ -31,19 +31,59 @@ def test_exact_groups_against_brute_force(spark):
     assert collections.Counter(r["text_sha256"] for r in got if r["kept"]) == collections.Counter(groups.keys())
 
 
-def test_index_remembers_and_is_repeatable(spark):
+def test_index_remembers(spark):
     known = index(spark)
     first, second = spark.createDataFrame([(10, "a", ""), (11, "b", "")], SCHEMA), spark.createDataFrame([(1, "a", ""), (2, "c", ""), (3, "c", "")], SCHEMA)
-    assert all(r["kept"] for r in known.add(first).collect())
-    got = {r["doc_id"]: (r["kept"], r["keep_id"]) for r in known.add(second).collect()}
+    assert all(r["kept"] for r in known.add(first, "first").collect())
+    got = {r["doc_id"]: (r["kept"], r["keep_id"]) for r in known.add(second, "second").collect()}
     assert got == {1: (False, 10), 2: (True, 2), 3: (False, 2)}
-    assert not any(r["kept"] for r in known.add(second).collect()) and known.entries().count() == 3
-    assert known.add(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert not any(r["kept"] for r in known.add(second, "third").collect()) and known.entries().count() == 3
+    assert known.add(spark.createDataFrame([], SCHEMA), "empty").collect() == []
+
+
+def test_interrupted_batch_gets_its_answers_again(spark):
+    known = index(spark)
+    known.add(spark.createDataFrame([(99, "5", "")], SCHEMA), "before")
+    batch = spark.createDataFrame([(i, str(i % 20), "") for i in range(30)], SCHEMA)
+    lost = known.add(batch, "second")  # its texts are in the index, and its result is never written
+    assert known.entries().count() == 20
+    again = known.add(batch, "second").collect()
+    assert sorted(map(str, again)) == sorted(map(str, lost.collect())) and sum(r["kept"] for r in again) == 19
+    assert known.entries().count() == known.entries().select("digest").distinct().count() == 20
+    # of a batch that was appended in part, the rest is added
+    more = known.add(batch.union(spark.createDataFrame([(50, "new", "")], SCHEMA)), "second").collect()
+    assert sum(r["kept"] for r in more) == 20 and known.entries().count() == 21
+
+
+def test_index_is_opened_with_its_own_bucket_count(spark):
+    path, docs = scratch_path(spark, "index"), spark.createDataFrame([(i, str(i), "") for i in range(20)], SCHEMA)
+    with exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", path, 4) as known:
+        name = known.table
+        known.add(docs, "first").collect()
+    assert not spark.catalog.tableExists(name)
+    with pytest.raises(ValueError, match="4 buckets, not 3"):
+        exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", path, 3)
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        with exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}", path) as known:
+            assert known.buckets == 4 and not any(r["kept"] for r in known.add(docs, "second").collect())
+            assert known.entries().count() == 20
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_two_batches_cover_all_rows_in_order(spark):
+    docs = spark.createDataFrame(DOCS, SCHEMA)
+    parts = exact_dedup.in_two_batches(docs)
+    early, late = (parts[n].collect() for n in ("early", "late"))
+    assert len(early) + len(late) == len(DOCS) and early and late
+    assert max(r["doc_id"] for r in early) < min(r["doc_id"] for r in late if r["doc_id"] is not None)
+    assert list(exact_dedup.in_two_batches(docs.where("doc_id IS NULL"))) == ["all"]
 
 
 def test_index_is_bucketed_and_its_side_not_shuffled(spark):
     known = index(spark)
-    known.add(spark.createDataFrame([(i, str(i), "") for i in range(50)], SCHEMA)).collect()
+    known.add(spark.createDataFrame([(i, str(i), "") for i in range(50)], SCHEMA), "one").collect()
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         new = spark.createDataFrame([(bytes([i]),) for i in range(5)], "digest binary").groupBy("digest").count()

@@ -79,6 +79,22 @@ def test_shards_round_trip(spark, monkeypatch):
     assert wavelet.read_documents(empty).collect() == []
 
 
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_shards_in_any_folder_that_spark_opens(spark, tmp_path, scheme):
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string")
+    shards = wavelet.write_shards(docs, f"{scheme}{tmp_path}/shards", queries.vocabulary("byte_bpe_50k.json"), "<|endoftext|>", True, 2)
+    assert wavelet.read_documents(shards).count() == len(ROWS)
+    stored = wavelet.Shard.from_bytes(bytes(shards.first()["file"]))
+    assert stored.matrix.count(2) >= 1 and stored.matrix.decode()[-1] == 2
+
+
+def test_equal_rows_are_dealt_to_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(wavelet, "SHARD_BYTES", 300)
+    docs = spark.createDataFrame([(1, "the same words")] * 200, "doc_id long, text string")
+    shards = wavelet.write_shards(docs, queries.scratch_path(spark, "wavelet"), queries.vocabulary("byte_bpe_50k.json"), "<|endoftext|>", True, 2)
+    assert shards.count() > 3 and wavelet.read_documents(shards).select("start").distinct().count() == 200
+
+
 def check_packing(got, want, length):
     by_doc, by_sequence = {}, {}
     for r in got:
