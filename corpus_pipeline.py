@@ -6,6 +6,8 @@ written as Parquet under the shared folder and read again, so a stage that fails
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts, that with the smallest doc_id."""
     path = scratch_path(spark, "digests")
-    index = exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path)
-    return index.add(docs).where("kept").select(*docs.columns)
+    with exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path) as index:
+        added = [index.add(batch, name) for name, batch in exact_dedup.in_two_batches(docs).items()]
+    return reduce(DataFrame.union, added).where("kept").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
