@@ -211,7 +211,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, separator: str, l
     # one row per shard
     before = Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1)
     starts = written.select(F.col("shard").alias("of"), "tokens").select("of", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("start"))
-    return written.join(starts, F.col("shard") == F.col("of")).drop("of")
+    # stored, so that the planner knows how small it is beside the files
+    return written.join(materialized(starts, "starts"), F.col("shard") == F.col("of")).drop("of")
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
