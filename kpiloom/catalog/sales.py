@@ -9,6 +9,8 @@ from kpiloom.catalog.registrar import query
 from kpiloom.operators import sets
 from kpiloom.plans import sales as sa
 from kpiloom.plans import views
+from kpiloom.session import scratch_path
+from kpiloom.sources.versions import VersionedTables
 
 WITH = f"WITH {S.SALES} "
 RAW = f"WITH {S.SALES_RAW} "
@@ -90,10 +92,16 @@ def product_behaviour(spark, folder):
     return sa.customer_behaviour(orders(spark, folder).withColumn("customer_id", F.col("product_id")))
 
 
-@query("AGG13", WITH + f"SELECT {S.cents('sum(sales)')} AS total_revenue, {S.cents('sum(sales)')} AS total_profit, 100.0::DOUBLE AS profit_margin_pct FROM sales WHERE discount > 0")
-def discounted_totals(spark, folder):
-    """With the revenue in the place of the profit, the margin is all of it."""
-    return sa.revenue_totals(orders(spark, folder).where("discount > 0").withColumn("profit", F.col("sales")))
+_AGG13 = (WITH + f"SELECT {S.cents('sum(quantity * 100 + sales)')} AS total_revenue, {S.cents('sum(profit - discount * 100)')} AS total_profit, "
+       f"{S.money('sum(profit - discount * 100)::DOUBLE / nullif(sum(quantity * 100 + sales)::DOUBLE, 0) * 100')} AS profit_margin_pct FROM sales")
+
+
+@query("AGG13", _AGG13)
+@query("AGG13_all", _AGG13)
+def totals_with_charges(spark, folder):
+    """A charge per piece is added to the revenue, and a cost of the discount is taken from the profit."""
+    charged = {"sales": F.col("quantity") * 100 + F.col("sales"), "profit": F.col("profit") - F.col("discount") * 100}
+    return sa.revenue_totals(orders(spark, folder).withColumns({k: v.cast("decimal(14,2)") for k, v in charged.items()}))
 
 
 @query("AGG14", WITH + f"SELECT date_trunc('month', ship_date)::DATE AS month, {S.cents('sum(sales)')} AS monthly_revenue, {S.cents('sum(profit)')} AS monthly_profit FROM sales GROUP BY 1")
@@ -108,23 +116,12 @@ def by_larger_discount(spark, folder):
     return sa.discount_impact(orders(spark, folder).select("sales", F.col("sales").alias("profit"), (F.col("discount") * 5).alias("discount")))
 
 
-@query("AGG16", WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat Customer' END AS customer_type, count(*) AS number_of_customers "
-       "FROM (SELECT product_id, count(DISTINCT order_id) AS n FROM sales WHERE quantity > 48 GROUP BY product_id) GROUP BY 1")
-def products_bought_again(spark, folder):
-    return sa.repeat_customers(orders(spark, folder).where("quantity > 48").withColumn("customer_id", F.col("product_id")))
-
-
-# AGG13 and AGG16 over all order lines.
-@query("AGG13_all", WITH + f"SELECT {S.cents('sum(quantity * 100 + sales)')} AS total_revenue, {S.cents('sum(profit - discount * 100)')} AS total_profit, "
-       f"{S.money('sum(profit - discount * 100)::DOUBLE / nullif(sum(quantity * 100 + sales)::DOUBLE, 0) * 100')} AS profit_margin_pct FROM sales")
-def totals_with_charges(spark, folder):
-    """A charge per piece is added to the revenue, and a cost of the discount is taken from the profit."""
-    charged = {"sales": F.col("quantity") * 100 + F.col("sales"), "profit": F.col("profit") - F.col("discount") * 100}
-    return sa.revenue_totals(orders(spark, folder).withColumns({k: v.cast("decimal(14,2)") for k, v in charged.items()}))
+_AGG16 = (WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat Customer' END AS customer_type, count(*) AS number_of_customers "
+       "FROM (SELECT customer_id, product_id, count(DISTINCT order_id) AS n FROM sales GROUP BY customer_id, product_id) GROUP BY 1")
 
 
-@query("AGG16_all", WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat Customer' END AS customer_type, count(*) AS number_of_customers "
-       "FROM (SELECT customer_id, product_id, count(DISTINCT order_id) AS n FROM sales GROUP BY customer_id, product_id) GROUP BY 1")
+@query("AGG16", _AGG16)
+@query("AGG16_all", _AGG16)
 def products_bought_again_by_a_customer(spark, folder):
     """Every product of a customer, bought in one order or in more."""
     return sa.repeat_customers(orders(spark, folder).withColumn("customer_id", F.struct("customer_id", "product_id")))
@@ -183,7 +180,9 @@ def insert_ignored_single(spark, folder):
 def set_difference(spark, folder):
     rows = views.table(spark, folder, "orders")
     columns = ["o_custkey", "o_orderstatus", "o_orderpriority"]
-    return sets.rows_not_in(rows.select(*columns), rows.filter(F.col("o_totalprice") > 100000).select(*columns))
+    tables = VersionedTables(spark, scratch_path(spark, "known"))
+    tables.append_new("orders", rows.filter(F.col("o_totalprice") > 100000).select(*columns))
+    return tables.rows_not_in("orders", rows.select(*columns))
 
 
 @query("LOAD1", RAW + "SELECT order_id, product_id, strptime(order_date, '%m/%d/%Y')::DATE AS order_date, count(*) AS n FROM raw GROUP BY ALL")

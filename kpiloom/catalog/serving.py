@@ -14,7 +14,7 @@ from kpiloom.operators.insights import period_insights
 from kpiloom.operators.rollups import metric_dictionary, wide_metrics
 from kpiloom.plans import views
 from kpiloom.plans.registry import READINESS_METRICS
-from kpiloom.session import scratch_path
+from kpiloom.session import materialized, scratch_path
 
 IDS = "('readiness_completion_pct', 'total_requirement_count', 'open_gap_count', 'critical_item_count')"
 PAIR = "('readiness_completion_pct', 'open_gap_count')"
@@ -177,12 +177,12 @@ def sections(spark, folder):
 
 
 def _store(spark, folder) -> sv.Store:
-    """All six tables of a run written and opened again."""
-    long = long_of(spark, folder, changes=True)
+    """All six tables of a run written as one version and opened again; what is made from the long metrics reads them once stored."""
+    long = materialized(long_of(spark, folder, changes=True), "long")
     store = sv.Store(spark, scratch_path(spark, "store"))
     sentences = period_insights(long)
     store.write({
-        "long_metrics": long, "wide_metrics": wide_metrics(long_of(spark, folder), READINESS_METRICS), "metric_dictionary": dictionary(spark),
+        "long_metrics": long, "wide_metrics": wide_metrics(long, READINESS_METRICS), "metric_dictionary": dictionary(spark),
         "metrics_validation_summary": summary_of(spark, folder), "report_insights": sentences,
         "report_summary": sn.report_summary(long),
     })

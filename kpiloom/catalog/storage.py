@@ -155,10 +155,11 @@ def order_rows(spark, folder):
 
 @query("SNK3", "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate::DATE AS o_orderdate FROM orders WHERE o_orderstatus <> 'F'")
 def table_replaced(spark, folder):
+    """The second version is made from the first."""
     path, rows = scratch_path(spark, "replaced"), order_rows(spark, folder)
     sk.load_table(rows, path, "replace")
-    sk.load_table(rows.filter(F.col("o_orderstatus") != "F"), path, "replace")
-    return spark.read.parquet(path)
+    sk.load_table(sk.read_table(spark, path).filter(F.col("o_orderstatus") != "F"), path, "replace")
+    return sk.read_table(spark, path)
 
 
 @query("SNK4", "SELECT o_custkey, o_orderstatus FROM orders WHERE o_orderstatus = 'F' UNION ALL (SELECT DISTINCT o_custkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'F')")
@@ -167,14 +168,15 @@ def new_rows_appended(spark, folder):
     path, rows = scratch_path(spark, "appended"), order_rows(spark, folder).select("o_custkey", "o_orderstatus")
     for part in (rows.filter(F.col("o_orderstatus") == "F"), rows, rows):
         sk.load_table(part, path, "append")
-    return spark.read.parquet(path)
+    return sk.read_table(spark, path)
 
 
 @query("SNK5", "SELECT 'orders_2024_Q1_clean' AS table_name, count(*) AS n FROM orders")
 def table_named(spark, folder):
     path = f"{scratch_path(spark, 'named')}/{sk.table_name('orders 2024-Q1')}"
     sk.load_table(order_rows(spark, folder), path)
-    stored = spark.read.parquet(path).select(F.regexp_extract("_metadata.file_path", "([^/]+)/part-", 1).alias("table_name"))
+    files = spark.read.parquet(f"{path}/data/*")
+    stored = files.select(F.regexp_extract("_metadata.file_path", "([^/]+)/batch=", 1).alias("table_name"))
     return stored.groupBy("table_name").agg(F.count(F.lit(1)).alias("n"))
 
 

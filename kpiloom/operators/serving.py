@@ -11,7 +11,7 @@ from kpiloom.functions.numbers import bar_width, card_value, completion_colour
 from kpiloom.operators.sets import small_side
 from kpiloom.operators.snapshot import READINESS_IDS, at_latest_date, at_level, latest_date
 from kpiloom.plans.registry import ConfigError
-from kpiloom.sources.sinks import write_parquet
+from kpiloom.sources.versions import VersionedTables
 
 # Display names of requirement categories.
 CATEGORY_LABELS = {
@@ -204,20 +204,23 @@ STORE_TABLES = ["long_metrics", "wide_metrics", "metric_dictionary", "metrics_va
 
 @dataclass
 class Store:
-    """Tables of one run as parquet under a folder; long metrics are partitioned by rollup level."""
+    """Tables of one run under a folder, written together as one version; long metrics are partitioned by rollup level."""
 
     spark: SparkSession
     folder: str
 
+    @property
+    def tables(self) -> VersionedTables:
+        return VersionedTables(self.spark, self.folder)
+
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}")
+        return self.tables.read(name)
 
     def write(self, tables: dict[str, DataFrame]) -> list[str]:
         unknown = sorted(set(tables) - set(STORE_TABLES))
         if unknown:
             raise ConfigError(f"the store has no tables {unknown}")
-        for name, df in tables.items():
-            write_parquet(df, f"{self.folder}/{name}", ["rollup_level"] if name == "long_metrics" else None)
+        self.tables.replace(tables, {"long_metrics": ["rollup_level"]})
         return sorted(tables)
 
     def register(self, prefix: str = "") -> list[str]:

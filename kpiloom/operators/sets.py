@@ -39,11 +39,15 @@ def first_occurrences(rows: DataFrame, order: str) -> DataFrame:
     return rows.groupBy(*_quoted(others)).agg(F.min(order).alias(order)).select(*_quoted(rows.columns))
 
 
-def rows_not_in(new: DataFrame, existing: DataFrame) -> DataFrame:
-    """Distinct new rows that the existing table lacks; nulls compare equal. Both must have the same columns."""
-    extra, absent = sorted(set(new.columns) - set(existing.columns)), sorted(set(existing.columns) - set(new.columns))
+def require_same_columns(new: list[str], existing: list[str]) -> None:
+    extra, absent = sorted(set(new) - set(existing)), sorted(set(existing) - set(new))
     if extra or absent:
         raise ValueError(f"columns differ: the table lacks {extra}, the new rows lack {absent}")
+
+
+def rows_not_in(new: DataFrame, existing: DataFrame) -> DataFrame:
+    """Distinct new rows that the existing table lacks; nulls compare equal. Both must have the same columns."""
+    require_same_columns(new.columns, existing.columns)
     return new.select(*_quoted(existing.columns)).subtract(existing)
 
 

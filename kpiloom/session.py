@@ -29,6 +29,8 @@ def build_session(app: str = "kpiloom", master: str | None = None, shuffle_parti
 
 
 _SHIPPED: set[str] = set()
+#: Scratch paths by application.
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -59,7 +61,26 @@ def shared_folder(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{shared_folder(spark)}/kpiloom/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/kpiloom/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system Spark opens it in; one that is not there is none to delete."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete what this application has written under the shared folder, at the end of a run; returns the number of folders.
+
+    DataFrames that read those folders can't be used any more.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove_folder(spark, path)
+    return len(paths)
 
 
 def materialized(df: DataFrame, name: str) -> DataFrame:

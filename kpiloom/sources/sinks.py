@@ -1,4 +1,4 @@
-"""Writers: CSV, parquet, replace and append-new tables, JSON reports."""
+"""Writers: CSV, parquet, versioned tables, JSON reports."""
 
 from __future__ import annotations
 
@@ -6,8 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kpiloom.operators.sets import as_stored, rows_not_in
-from kpiloom.sources.reports import exists
+from kpiloom.sources.versions import VersionedTables
 
 
 def table_name(stem: str) -> str:
@@ -36,29 +35,23 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def replace_table(df: DataFrame, path: str) -> int:
-    """Create or replace a table and return its row count (from file footers)."""
-    write_parquet(df, path)
-    return df.sparkSession.read.parquet(path).count()
+def tables_at(spark: SparkSession, path: str) -> tuple[VersionedTables, str]:
+    """The versioned folder of a table, and the table's name, which is that of the folder."""
+    return VersionedTables(spark, path), path.rstrip("/").rsplit("/", 1)[-1]
 
 
-def append_new_rows(df: DataFrame, path: str) -> int:
-    """Append the distinct rows the table lacks, creating it if needed; returns the total row count.
-
-    The existing files are listed before the write starts and appending only adds files, so the
-    difference reads a fixed snapshot even when tasks are rerun. New rows take the stored column types; other
-    columns, or values those types cannot hold, stop the run before anything is written.
-    """
-    spark: SparkSession = df.sparkSession
-    if exists(spark, path):
-        stored = spark.read.parquet(path)
-        rows_not_in(as_stored(df, stored), stored).write.mode("append").parquet(path)
-    else:
-        df.write.parquet(path)
-    return spark.read.parquet(path).count()
+def read_table(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    tables, name = tables_at(spark, path)
+    return tables.read(name, version)
 
 
 def load_table(df: DataFrame, path: str, mode: str = "replace") -> int:
+    """Replace the table, or append the distinct rows that it lacks (creating it with its repeats); returns its row count.
+
+    Either is one new version: a run that fails changes nothing, and the rows may come from the table itself.
+    """
     if mode not in ("replace", "append"):
         raise ValueError(f"unknown table mode {mode!r}: use 'replace' or 'append'")
-    return replace_table(df, path) if mode == "replace" else append_new_rows(df, path)
+    tables, name = tables_at(df.sparkSession, path)
+    tables.replace({name: df}) if mode == "replace" else tables.append_new(name, df)
+    return tables.count(name)

@@ -200,7 +200,7 @@ def test_append_takes_the_stored_types_or_stops(spark, tmp_path):
     for bad in (spark.createDataFrame([(2.5, "b")], "k double, v string"), spark.createDataFrame([(3, "c", 1)], "k bigint, v string, extra int"), spark.createDataFrame([(3,)], "k bigint")):
         with pytest.raises(ValueError):
             sk.load_table(bad, path, "append")
-    assert sorted(map(tuple, spark.read.parquet(path).collect())) == [(1, "a"), (2, "b")]
+    assert sorted(map(tuple, sk.read_table(spark, path).collect())) == [(1, "a"), (2, "b")]
 
 
 def test_csv_sink_keeps_spaces_and_quotes(spark, tmp_path):
