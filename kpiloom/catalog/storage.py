@@ -76,7 +76,7 @@ SELECT (SELECT count(*) FROM t) AS rows_loaded_total, (SELECT count(*) FROM (SEL
 def folder_run(spark, folder):
     # written as scanned, so that repeated rows share a file
     path = sk.write_csv(views.messy_orders(spark, folder).drop(*SOURCE), scratch_path(spark, "folder"))
-    totals = run_folder(spark, path, IntakeConfig(required_columns=["order_key"]), multiline=False).totals
+    totals = run_folder(spark, path, IntakeConfig(required_columns=["order_key"])).totals
     return totals.select("rows_loaded_total", "rows_output_total", "duplicates_removed_total", "files_failed", "files_failed_validation")
 
 
