@@ -19,6 +19,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from py4j.protocol import Py4JJavaError
@@ -125,10 +126,13 @@ def heads(spark: SparkSession, paths: list[str], separator: str | None = None) -
         size = 0
         for batch in batches:
             path = batch.column("path")
-            changes = [0, *(i for i in range(1, len(path)) if path[i] != path[i - 1])] if pc.count_distinct(path).as_py() > 1 else [0]
-            for at in changes:
-                own = found.setdefault(canonical(path[at].as_py()), [])
-                own += [v or "" for v in batch.column("value").slice(at, HEAD_LINES).to_pylist()][: HEAD_LINES - len(own)] if len(own) < HEAD_LINES else []
+            if not len(path):
+                continue
+            names = path.dictionary_encode()
+            runs = np.flatnonzero(np.diff(names.indices.to_numpy(), prepend=-1))
+            for at, end in zip(runs, [*runs[1:], len(path)], strict=True):
+                own = found.setdefault(canonical(path[int(at)].as_py()), [])
+                own += [v or "" for v in batch.column("value").slice(at, min(end - at, HEAD_LINES - len(own))).to_pylist()]
             size += pc.sum(pc.binary_length(batch.column("value"))).as_py() or 0
             # only a file that has the task to itself can be larger than this
             if size > HEAD_BYTES:
