@@ -15,6 +15,7 @@ from kpiloom.operators import intake_checks as ic
 from kpiloom.operators import profiling as pr
 from kpiloom.plans import views
 from kpiloom.plans.registry import ColumnRule
+from kpiloom.session import materialized
 
 SOURCE = ["source_file"]
 COLS = S.MESSY_COLUMNS
@@ -75,10 +76,13 @@ _COUNTED = ["order_key", "order_date", "contract_start", "total_price", "rack_de
 _NUMERIC = "'[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?'"
 
 
-@query("CLN8", f"WITH {S.MESSY_TEXT} " + " UNION ALL ".join(
+_KINDS = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count({c}) AS present, count({S.date_of(c)}) AS dates, "
     f"count(CASE WHEN regexp_full_match({c}, '[+-]?[0-9]+') THEN 1 END) AS whole, "
-    f"count(CASE WHEN regexp_full_match({c}, {_NUMERIC}) THEN 1 END) AS numbers FROM standard" for c in _COUNTED))
+    f"count(CASE WHEN regexp_full_match({c}, {_NUMERIC}) THEN 1 END) AS numbers FROM standard" for c in _COUNTED)
+
+
+@query("CLN8", f"WITH {S.MESSY_TEXT} " + _KINDS)
 def kinds_counted(spark, folder):
     standard = cl.standardize(cl.null_sentinels(plain_messy(spark, folder)))
     counted = standard.agg(*[e.alias(n) for n, e in cl.kind_counts(standard).items()])
@@ -138,11 +142,11 @@ def nulls_counted(spark, folder):
     return pr.column_profile(cl.clean(messy(spark, folder), SOURCE), SOURCE).select("source_file", "column", "null_count")
 
 
-_TYPES = {"order_key": "Int64", "order_date": "Date", "contract_start": "String", "total_price": "Float64", "rack_density": "Int64",
-          "ship_note": "String", "customer_id": "String", "status_flag": "String"}
+#: What the counts of a column's values make of it.
+_TYPED_AS = "CASE WHEN dates = present AND present > 0 THEN 'Date' WHEN dates >= 0.5 * present THEN 'String' WHEN whole = present THEN 'Int64' WHEN numbers = present THEN 'Float64' ELSE 'String' END"
 
 
-@query("PRF3", "SELECT * FROM (VALUES " + ", ".join(f"('{c}', '{t}')" for c, t in _TYPES.items()) + ") AS t(\"column\", inferred_type)")
+@query("PRF3", f"WITH {S.MESSY_TEXT}, kinds AS ({_KINDS}) SELECT column_name AS \"column\", {_TYPED_AS} AS inferred_type FROM kinds")
 def types_inferred(spark, folder):
     return pr.column_profile(cl.clean(plain_messy(spark, folder))).select("column", "inferred_type")
 
@@ -163,12 +167,23 @@ def headers_mapped(spark, folder):
     ])))
 
 
-@query("PRF5", "SELECT * FROM (VALUES ('order_key'), ('total_price'), ('rack_density')) AS t(\"column\")")
+_PLAIN = " UNION ALL ".join(f"SELECT '{c}' AS column_name, count({c}) AS given, count(CASE WHEN regexp_full_match({c}, {_NUMERIC}) THEN 1 END) AS bare FROM sourced" for c in _COUNTED)
+
+
+@query("PRF5", f"""WITH {S.MESSY_TEXT}, kinds AS ({_KINDS}), plain AS ({_PLAIN})
+SELECT column_name AS "column" FROM kinds JOIN plain USING (column_name) WHERE {_TYPED_AS} IN ('Int64', 'Float64') AND bare < given""")
 def numbers_from_text(spark, folder):
     return pr.column_profile(cl.clean(plain_messy(spark, folder))).filter("number_from_text").select("column")
 
 
-@query("PRF6", "SELECT * FROM (VALUES ('order_date')) AS t(\"column\")")
+_ISO_TEXT = "[0-9]{4}-[0-9]{2}-[0-9]{2}"
+_UNIFORM = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (SELECT count({c}) > 0 AND count({c}) = count(CASE WHEN regexp_full_match({c}, '{_ISO_TEXT}') THEN 1 END) FROM sourced) AS before, "
+    f"(SELECT count({c}) > 0 AND count({c}) = count(CASE WHEN regexp_full_match({c}::VARCHAR, '{_ISO_TEXT}') THEN 1 END) FROM typed) AS after" for c in _COUNTED)
+
+
+@query("PRF6", f"""WITH {S.MESSY_TYPED}, kinds AS ({_KINDS}), uniform AS ({_UNIFORM})
+SELECT column_name AS "column" FROM kinds JOIN uniform USING (column_name) WHERE {_TYPED_AS} = 'Date' OR ({_TYPED_AS} = 'String' AND after AND NOT before)""")
 def dates_from_text(spark, folder):
     return pr.column_profile(cl.clean(plain_messy(spark, folder))).filter("date_from_text").select("column")
 
@@ -271,7 +286,7 @@ t AS (SELECT *, CASE WHEN error_count > 0 THEN 'fail' WHEN warning_count > 0 THE
 def _statuses(spark, folder) -> DataFrame:
     """Per-file statuses; the last batch is one where a required column is missing."""
     typed = _typed(spark, folder)
-    counts = ic.table_counts(typed, SOURCE)
+    counts = materialized(ic.table_counts(typed, SOURCE), "file-counts")  # one row per file, read by files, late files and findings
     files = counts.select(*SOURCE, "rows_loaded", "rows_output").withColumn("load_warnings", F.lit(0).cast("bigint"))
     late = files.filter(F.col("source_file") == "batch_5.csv")
     missing = fnd.known_for_each(late, SOURCE, ic.name_findings(["a", "b"], COLS, ["lease_end"]))

@@ -9,6 +9,7 @@ from kpiloom.catalog.insights import long_of, market_long
 from kpiloom.catalog.quality import SUMMARY_SQL, summary_of
 from kpiloom.catalog.registrar import query
 from kpiloom.operators import serving as sv
+from kpiloom.operators.sets import small_side
 from kpiloom.operators import snapshot as sn
 from kpiloom.operators.insights import period_insights
 from kpiloom.operators.rollups import metric_dictionary, wide_metrics
@@ -99,7 +100,10 @@ def dictionary_joined(spark, folder):
 
 @query("JN2", S.readiness() + f", {DICTIONARY} SELECT metric_id, d.label, d.unit, count(*) AS n FROM long JOIN dict d ON d.id = metric_id GROUP BY ALL")
 def labels_looked_up(spark, folder):
-    return long_of(spark, folder).groupBy("metric_id", "label", "unit").agg(F.count(F.lit(1)).alias("n"))
+    """Counts of bare metric rows meet the dictionary, where labels and units come from."""
+    counted = long_of(spark, folder).groupBy("metric_id").agg(F.count(F.lit(1)).alias("n"))
+    named = dictionary(spark).select(F.col("id").alias("metric_id"), "label", "unit")
+    return counted.join(small_side(named), "metric_id").select("metric_id", "label", "unit", "n")
 
 
 @query("JN7", S.readiness() + f"SELECT category, {_LABELS.format('category')} AS label, count(*) AS n FROM long WHERE rollup_level = 'date_category' GROUP BY category")

@@ -1,22 +1,28 @@
 """Messy text tables to typed tables.
 
-Two jobs: one aggregate over the standardised text decides the kind of every column, one projection
-applies the decisions. Only counts per column reach the driver.
+The standardised text is written once, beside the text it came from; writing it also estimates how many different values each
+column has. Kinds are decided on the different values with their counts, combined on the map side, so that a value is matched
+against the patterns once however often it occurs; columns of mostly different values are matched row by row instead. One
+projection applies the decisions. Only counts per column reach the driver.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpiloom.functions import text as tx
 from kpiloom.functions.dates import messy_date
 from kpiloom.plans.registry import ColumnRule, ConfigError
+from kpiloom.session import materialized
 
 DATE_SHARE = 0.5  # at least this share of present values must read as dates
+#: Up to this share of different values a column is matched by its values, above it row by row.
+MOST_DIFFERENT = 0.5
+_COUNTED = ("present", "date", "bigint", "double")
 
 
 @dataclass
@@ -103,17 +109,29 @@ def decide_kind(present: int, dates: int, longs: int, doubles: int) -> str:
     return "double" if doubles == present else "text"
 
 
-def infer_kinds(standard: DataFrame, keep: list[str] | None = None, extra: dict[str, Column] | None = None) -> tuple[dict[str, str], dict]:
-    """Kinds of all columns from one aggregate row, plus any extra aggregates asked for."""
+def infer_kinds(standard: DataFrame, keep: list[str] | None = None, shares: dict[str, float] | None = None) -> tuple[dict[str, str], dict[str, int]]:
+    """Kinds of all columns, and the counts they rest on. ``shares`` tells the share of different values where it is known; the others are matched row by row."""
     columns = text_columns(standard, keep)
-    counts = kind_counts(standard, keep) | (extra or {})
+    repeating = [c for c in columns if (shares or {}).get(c, 1.0) <= MOST_DIFFERENT]
+    counts = {n: e for n, e in kind_counts(standard, keep).items() if n.split(":", 1)[1] not in repeating}
     seen = standard.agg(*[e.alias(n) for n, e in counts.items()]).first().asDict() if counts else {}
+    if repeating:
+        for r in value_counts(standard, repeating).collect():  # one row per column
+            seen |= {f"{what}:{r.column}": r[what] for what in _COUNTED}
     kinds = {c: "kept" for c in standard.columns if c not in (keep or [])}
     for c in columns:
-        kinds[c] = decide_kind(*(seen[f"{what}:{c}"] for what in ("present", "date", "bigint", "double")))
+        kinds[c] = decide_kind(*(seen.get(f"{what}:{c}", 0) for what in _COUNTED))
     return kinds, seen
 
 
+def value_counts(standard: DataFrame, columns: list[str]) -> DataFrame:
+    """Per column how many values there are, and how many read as a date, a whole number and a number; each different value is read once."""
+    cells = standard.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("value")) for c in columns])))
+    values = cells.where("value IS NOT NULL").groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    reads = {"present": F.col("value"), "date": messy_date(F.col("value")), "bigint": tx.as_long(F.col("value")), "double": tx.as_double(F.col("value"))}
+    return values.groupBy("column").agg(*[F.sum(F.when(x.isNotNull(), F.col("n")).otherwise(0)).alias(what) for what, x in reads.items()])
+
+
 def apply_kinds(standard: DataFrame, kinds: dict[str, str]) -> DataFrame:
     def typed(name: str) -> Column:
         c, kind = F.col(name), kinds.get(name, "kept")
@@ -146,17 +164,29 @@ def clean(raw: DataFrame, keep: list[str] | None = None) -> Cleaned:
     keep = keep or []
     raw = null_sentinels(raw, keep)
     headers = clean_headers([c for c in raw.columns if c not in keep])
-    # Which raw text columns were plain numbers all along: carried beside the cleaned text so that
-    # one aggregate answers both questions.
-    raw_text = {headers[c]: c for c in text_columns(raw, keep)}
-    beside = raw.withColumns({f"raw:{clean_name}": F.col(f"`{c}`") for clean_name, c in raw_text.items()})
-    carried = [f"raw:{c}" for c in raw_text]
-    standard = standardize(beside, [*keep, *carried])
-    extra = {f"plain:{c}": F.count(tx.as_double(F.col(f"`raw:{c}`"))) for c in raw_text}
-    kinds, seen = infer_kinds(standard, [*keep, *carried], extra)
-    already = {c for c in raw_text if seen[f"present:{c}"] and seen[f"plain:{c}"] == seen[f"present:{c}"]}
-    typed = apply_kinds(standardize(raw, keep), kinds)
-    return Cleaned(raw, typed, typed.dropDuplicates(), kinds, headers, already, keep)
+    beside = raw.withColumns({f"raw:{clean_name}": F.col(f"`{c}`") for c, clean_name in headers.items()})
+    carried = [f"raw:{c}" for c in headers.values()]
+    stored, shares = _stored(standardize(beside, [*keep, *carried]), [*keep, *carried])
+    kinds, _ = infer_kinds(stored, [*keep, *carried], shares)
+    # which numbers were plain numbers in the raw text all along
+    dressed = [c for c in text_columns(raw, keep) if kinds[headers[c]] in ("bigint", "double")]
+    plain = [F.count(F.col(f"`raw:{headers[c]}`")) == F.count(tx.as_double(F.col(f"`raw:{headers[c]}`"))) for c in dressed]
+    already = {headers[c] for c, yes in zip(dressed, stored.agg(*plain).first(), strict=True) if yes} if dressed else set()
+    before = stored.select(*[F.col(f"`{c}`") if c in keep else F.col(f"`raw:{headers[c]}`").alias(c) for c in raw.columns])
+    typed = apply_kinds(stored.drop(*carried), kinds)
+    return Cleaned(before, typed, typed.dropDuplicates(), kinds, headers, already, keep)
+
+
+def _stored(standard: DataFrame, keep: list[str]) -> tuple[DataFrame, dict[str, float]]:
+    """The rows written to scratch and read back, and per text column its estimated share of different values."""
+    columns = text_columns(standard, keep)
+    if not columns:
+        return materialized(standard, "standard"), {}
+    seen = Observation()
+    counts = [x for i, c in enumerate(columns) for x in (F.count(F.col(f"`{c}`")).alias(f"n{i}"), F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}"))]
+    stored = materialized(standard.observe(seen, *counts), "standard")
+    found = seen.get
+    return stored, {c: found.get(f"d{i}", 0) / max(1, found.get(f"n{i}", 0)) for i, c in enumerate(columns)}
 
 
 def rename_by_rule(df: DataFrame, rules: dict[str, ColumnRule]) -> DataFrame:
