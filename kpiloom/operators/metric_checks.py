@@ -11,6 +11,7 @@ from kpiloom.operators.ordering import iqr_outliers
 from kpiloom.operators.schema import Normalized
 from kpiloom.operators.sets import duplicate_rows
 from kpiloom.plans.registry import Registry, rollup_label
+from kpiloom.session import materialized
 
 STATUSES = ("failed", "passed_with_warnings", "passed")
 
@@ -134,7 +135,8 @@ def outlier_findings(facts: DataFrame, registry: Registry) -> DataFrame:
 
 
 def metric_findings(normalized: Normalized, registry: Registry) -> DataFrame:
-    facts = normalized.facts
+    """All findings of a fact table, which is written once, as every check reads it."""
+    facts = materialized(normalized.facts, "checked_facts")
     frames = [column_findings(normalized, registry), value_findings(facts, registry), duplicate_findings(facts)]
     if "date" in facts.columns:
         frames.append(key_findings(facts, registry))

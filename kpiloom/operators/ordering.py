@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
+import struct
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpiloom.session import materialized
 
-#: Approximate quantiles err by this share of the rows at most; a bracket is four of them wide.
-RANK_ERROR = 1 / 20_000
 FRACTIONS = (0.25, 0.75)
+#: Bits of a value's image that one pass of the refinement settles; a pass counts at most 2 ** STEP bins a place.
+STEP = 13
+_ALL_BUT_SIGN = (1 << 63) - 1
 
 
 def with_weight_before(values: DataFrame, value: str, weight: str) -> DataFrame:
@@ -45,68 +49,93 @@ def with_rank_descending(rows: DataFrame, value: str, rank: str) -> DataFrame:
     return placed.select(*rows.columns, F.coalesce(F.col(rank), F.lit(1).cast("bigint")).alias(rank))
 
 
-def _number(column: str) -> Column:
-    """The value as a double; a NaN is a missing value."""
-    return F.nanvl(F.col(f"`{column}`").cast("double"), F.lit(None).cast("double"))
+def _image(value: Column) -> Column:
+    """A double as a whole number of the same order: its bits, those below the sign turned over for negative values."""
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), value + 0.0).cast("bigint")
+    return F.when(value.isNotNull(), bits.bitwiseXOR(F.shiftrightunsigned(F.shiftright(bits, 63), 1)))
+
+
+def image_of(value: float) -> int:
+    """`_image` of one value."""
+    bits = struct.unpack(">q", struct.pack(">d", value + 0.0))[0]
+    return bits if bits >= 0 else bits ^ _ALL_BUT_SIGN
+
+
+def value_of(image: int) -> float:
+    """The value that has this image."""
+    return struct.unpack(">d", struct.pack(">q", image if image >= 0 else image ^ _ALL_BUT_SIGN))[0]
+
+
+def value_images(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """The images of the columns' values as i0, i1, ..., written once; a NaN is a missing value."""
+    numbers = [F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(None).cast("double")).alias(f"v{i}") for i, c in enumerate(columns)]
+    return materialized(rows.select(*numbers).select(*[_image(F.col(f"v{i}")).alias(f"i{i}") for i in range(len(columns))]), "images")
 
 
-def _brackets(rows: DataFrame, columns: list[str], error: float) -> tuple[dict[str, int], dict[tuple[str, float], tuple[float, float]]]:
-    """Per column its number of values, and per quartile two values that its positions lie between, from one aggregate."""
-    wanted = [min(1.0, max(0.0, f + side * 2 * error)) for f in FRACTIONS for side in (-1, 1)]
-    parts = [x for i, c in enumerate(columns) for x in (F.count(_number(c)).alias(f"n{i}"), F.percentile_approx(_number(c), wanted, int(1 / error)).alias(f"q{i}"))]
-    seen = rows.agg(*parts).first()
-    totals = {c: seen[f"n{i}"] for i, c in enumerate(columns)}
-    return totals, {(c, f): tuple(seen[f"q{i}"][2 * k : 2 * k + 2]) for i, c in enumerate(columns) if totals[c] for k, f in enumerate(FRACTIONS)}
+def _counts(images: DataFrame, prefixes: dict[int, set[int]], held: int, shift: int) -> dict[int, dict[int, int]]:
+    """Per column and bin (image >> shift) the number of values, of those whose image >> held is one of the prefixes."""
+    def wanted(i: int) -> Column:
+        at = F.col(f"i{i}")
+        return at.isNotNull() if held == 64 else F.shiftright(at, held).isin(*prefixes[i])
 
+    cells = [F.when(wanted(i), F.struct(F.lit(i).alias("column"), F.shiftright(f"i{i}", shift).alias("bin"))) for i in prefixes]
+    found = images.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    bins: dict[int, dict[int, int]] = {i: {} for i in prefixes}
+    for row in found.collect():  # at most four places a column, 2 ** STEP bins each
+        bins[row["column"]][row["bin"]] = row["n"]
+    return bins
 
-def quartiles(rows: DataFrame, columns: list[str], error: float = RANK_ERROR) -> dict[str, tuple[int, float, float]]:
+
+def _quartiles(images: DataFrame, columns: int) -> dict[int, tuple[int, float, float]]:
+    """Per column with values: their number and the quartiles, by refining the images of the values at their places."""
+    held, shift = 64, 64 - STEP
+    bins = _counts(images, {i: set() for i in range(columns)}, held, shift)
+    totals = {i: sum(found.values()) for i, found in bins.items()}
+    places = {i: {math.floor((n - 1) * f) for f in FRACTIONS} | {math.ceil((n - 1) * f) for f in FRACTIONS} for i, n in totals.items() if n}
+    # per place the prefix of its value's image, and how many values lie below all values with that prefix
+    state = {(i, place): (0, 0) for i, wanted in places.items() for place in wanted}
+    while state:
+        for (i, place), (prefix, below) in state.items():
+            for at in sorted(b for b in bins[i] if held == 64 or b >> (held - shift) == prefix):
+                if below + bins[i][at] > place:
+                    state[i, place] = (at, below)
+                    break
+                below += bins[i][at]
+        if shift == 0:
+            break
+        held, shift = shift, max(0, shift - STEP)
+        bins = _counts(images, {i: {state[i, place][0] for place in wanted} for i, wanted in places.items()}, held, shift)
+
+    def quartile(i: int, fraction: float) -> float:
+        place = (totals[i] - 1) * fraction
+        low, high = (value_of(state[i, step(place)][0]) for step in (math.floor, math.ceil))
+        return low if low == high else low + (high - low) * (place - math.floor(place))
+
+    return {i: (totals[i], *(quartile(i, f) for f in FRACTIONS)) for i in places}
+
+
+def quartiles(rows: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
     """Per column with values: their number and the exact quartiles, linearly interpolated.
 
-    Approximate quantiles, whose rank error is known, bracket each quartile; a second pass counts what lies below a
-    bracket and the values within it, about four errors' share of the rows. Nothing else is shuffled.
+    Values become 64-bit images of the same order, written once. Five passes over them settle the places of all columns
+    at once, 13 bits each: a pass counts the images with the prefixes found so far by their next bits, on the map
+    side. Counts are all that is shuffled, at most 2 ** 13 a place, whatever the values and however they repeat.
     """
-    totals, brackets = _brackets(rows, columns, error)
-    cells = []
-    for (c, f), (low, high) in brackets.items():
-        v = _number(c)
-        zone = F.when(v < low, float("-inf")).when(v <= high, v)
-        cells.append(F.struct(F.lit(c).alias("column"), F.lit(f).alias("fraction"), zone.alias("value")))
-    if not cells:
-        return {}
-    counted = rows.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).groupBy("column", "fraction", "value").agg(F.count(F.lit(1)).alias("n"))
-    upto = Window.partitionBy("column", "fraction").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counted.withColumn("upto", F.sum("n").over(upto))
-
-    def place(step) -> Column:
-        size = F.create_map(*[F.lit(x) for c, n in totals.items() for x in (c, n)])[F.col("column")]
-        return step((size - 1) * F.col("fraction"))
-
-    # the value at a position is the smallest that more rows than that are at or below
-    found = placed.groupBy("column", "fraction").agg(
-        F.min(F.when(F.col("upto") > place(F.floor), F.col("value"))).alias("low"), F.min(F.when(F.col("upto") > place(F.ceil), F.col("value"))).alias("high"))
-    at = {(r["column"], r["fraction"]): (r["low"], r["high"]) for r in found.collect()}  # two rows per declared column
-    result = {}
-    for c, n in totals.items():
-        if not n:
-            continue
-        ends = []
-        for f in FRACTIONS:
-            low, high = at.get((c, f), (None, None))
-            if low is None or high is None or (low == float("-inf") and brackets[c, f][0] != low):
-                # outside its bracket: look again with a wider one
-                return quartiles(rows, columns, min(0.5, error * 16))
-            share = (n - 1) * f - int((n - 1) * f)
-            ends.append(low + (high - low) * share)
-        result[c] = (n, *ends)
-    return result
+    return {columns[i]: found for i, found in _quartiles(value_images(rows, columns), len(columns)).items()}
 
 
 def iqr_outliers(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows outside 1.5 interquartile ranges: column, low, high, n. Needs four values and a non-zero range."""
-    fences = {c: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for c, (n, q1, q3) in quartiles(rows, columns).items() if n >= 4 and q1 != q3}
+    """Rows outside 1.5 interquartile ranges: column, low, high, n. Needs four values and a non-zero range.
+
+    Quartiles between which infinity lies give no range and no row.
+    """
+    images = value_images(rows, columns)
+    found = _quartiles(images, len(columns))
+    fences = {i: (q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)) for i, (n, q1, q3) in found.items() if n >= 4 and q1 != q3}
+    fences = {i: ends for i, ends in fences.items() if not any(math.isnan(end) for end in ends)}
     schema = "column string, low double, high double, n bigint"
     if not fences:
         return rows.sparkSession.createDataFrame([], schema)
-    counts = rows.agg(*[F.count_if((_number(c) < low) | (_number(c) > high)).alias(f"n{i}") for i, (c, (low, high)) in enumerate(fences.items())])
+    counts = images.agg(*[F.count_if((F.col(f"i{i}") < image_of(low)) | (F.col(f"i{i}") > image_of(high))).alias(f"n{i}") for i, (low, high) in fences.items()])
     return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.col(f"n{i}").alias("n")) for i, (c, (low, high)) in enumerate(fences.items())])))
+        F.struct(F.lit(columns[i]).alias("column"), F.lit(low).alias("low"), F.lit(high).alias("high"), F.col(f"n{i}").alias("n")) for i, (low, high) in fences.items()])))

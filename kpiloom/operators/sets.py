@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kpiloom.session import materialized
+
 
 def _quoted(names) -> list:
     return [F.col(f"`{n}`") for n in names]
@@ -94,6 +96,13 @@ def repeated_keys(rows: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphans(rows: DataFrame, key: str, parents: DataFrame, parent_key: str) -> DataFrame:
-    """Rows whose key has no parent. A null key refers to nothing and is not an orphan."""
+    """Rows whose key has no parent. A null key refers to nothing and is not an orphan.
+
+    Rows are reduced to their different keys on the map side, and only keys meet the parents, so a key with a third of all
+    rows is one row per task there. The keys found missing go back to the rows: to every task if they are few, else in a
+    join that shuffles both sides.
+    """
     known = parents.select(F.col(parent_key).alias(key)).distinct()
-    return rows.filter(F.col(key).isNotNull()).join(known, key, "left_anti")
+    keys = rows.select(key).where(F.col(key).isNotNull()).distinct()
+    missing = materialized(keys.join(known, key, "left_anti"), "missing_keys")
+    return rows.join(small_side(missing), key, "left_semi")

@@ -195,7 +195,25 @@ def test_quartiles_against_numpy_with_a_hot_value(spark):
         total, q1, q3 = got[column]
         assert total == len(series)
         assert math.isclose(q1, np.quantile(series, 0.25), rel_tol=1e-12) and math.isclose(q3, np.quantile(series, 0.75), rel_tol=1e-12)
-    assert ordering.quartiles(df, ["x"], error=0.2)["x"] == got["x"]
+
+
+def test_images_keep_the_order_of_doubles(spark):
+    inf = float("inf")
+    values = [-inf, -1.7e308, -2.5, -1.0, -2.3e-308, -5e-324, 0.0, 5e-324, 1e-310, 0.1, 1.0, 1.0000000000000002, 3.5, 1.7e308, inf]
+    df = spark.createDataFrame([(v, -0.0) for v in values] + [(float("nan"), None)], "`a b` double, y double")
+    got = sorted(r.i0 for r in ordering.value_images(df, ["a b", "y"]).collect() if r.i0 is not None)
+    assert got == [ordering.image_of(v) for v in values] and [ordering.value_of(i) for i in got] == values
+    found = ordering.quartiles(df, ["a b", "y"])
+    assert found["a b"] == (15, (values[3] + values[4]) / 2, (values[10] + values[11]) / 2)
+    assert found["y"] == (15, 0.0, 0.0) and ordering.quartiles(df.limit(0), ["y"]) == {}
+    endless = spark.createDataFrame([(v,) for v in (-inf, -inf, 1.0, 2.0, 3.0, inf, inf, inf)], "x double")
+    assert ordering.iqr_outliers(endless, ["x"]).collect() == []
+
+
+def test_one_value_and_ties_at_a_quartile(spark):
+    for values in ([4.0], [1.0, 2.0], [1.0, 1.0, 1.0, 9.0], [-3.0, -2.0, -2.0, 7.0, 7.0, 8.0]):
+        n, q1, q3 = ordering.quartiles(spark.createDataFrame([(v,) for v in values], "x double"), ["x"])["x"]
+        assert n == len(values) and (q1, q3) == (np.quantile(values, 0.25), np.quantile(values, 0.75))
 
 
 def test_rank_against_brute_force(spark):
@@ -220,6 +238,9 @@ def test_sets(spark):
     assert [r.k for r in sets.insert_ignore(df, target, ["k"]).collect()] == [1]
     assert [(r.k, r.n) for r in sets.repeated_keys(df, ["k"]).collect()] == [(1, 3)]
     assert sorted(r.k for r in sets.orphans(df, "k", target, "k").collect()) == [1, 1, 1]
+    lone = spark.createDataFrame([(None, "x", 1), (7, None, 2), (7, None, 2), (2, "y", 3)], df.schema)
+    assert [tuple(r) for r in sets.orphans(lone, "k", target, "k").collect()] == [(7, None, 2)] * 2
+    assert sets.orphans(lone, "k", target.limit(0), "k").count() == 3 and sets.orphans(lone.limit(0), "k", target, "k").count() == 0
     order = spark.createDataFrame([("x", 3), ("x", 1), ("y", 2)], "v string, row int")
     assert sorted(tuple(r) for r in sets.first_occurrences(order, "row").collect()) == [("x", 1), ("y", 2)]
 
