@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import struct
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,12 +75,12 @@ def value_images(rows: DataFrame, columns: list[str]) -> DataFrame:
 
 def _counts(images: DataFrame, prefixes: dict[int, set[int]], held: int, shift: int) -> dict[int, dict[int, int]]:
     """Per column and bin (image >> shift) the number of values, of those whose image >> held is one of the prefixes."""
-    def wanted(i: int) -> Column:
-        at = F.col(f"i{i}")
-        return at.isNotNull() if held == 64 else F.shiftright(at, held).isin(*prefixes[i])
-
-    cells = [F.when(wanted(i), F.struct(F.lit(i).alias("column"), F.shiftright(f"i{i}", shift).alias("bin"))) for i in prefixes]
-    found = images.select(F.inline(F.array_compact(F.array(*cells)))).groupBy("column", "bin").agg(F.count(F.lit(1)).alias("n"))
+    image = F.col("image")
+    cells = images.select(F.posexplode(F.array(*[f"i{i}" for i in range(len(images.columns))])).alias("column", "image")).where(image.isNotNull())
+    if held < 64:
+        among = [(F.col("column") == i) & F.shiftright(image, held).isin(*found) for i, found in prefixes.items()]
+        cells = cells.where(reduce(Column.__or__, among))
+    found = cells.groupBy("column", F.shiftright(image, shift).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     bins: dict[int, dict[int, int]] = {i: {} for i in prefixes}
     for row in found.collect():  # at most four places a column, 2 ** STEP bins each
         bins[row["column"]][row["bin"]] = row["n"]
@@ -103,7 +104,8 @@ def _quartiles(images: DataFrame, columns: int) -> dict[int, tuple[int, float, f
                 below += bins[i][at]
         if shift == 0:
             break
-        held, shift = shift, max(0, shift - STEP)
+        most = max(bins[i][prefix] for (i, _), (prefix, _) in state.items())
+        held, shift = shift, 0 if most <= 1 << STEP else max(0, shift - STEP)
         bins = _counts(images, {i: {state[i, place][0] for place in wanted} for i, wanted in places.items()}, held, shift)
 
     def quartile(i: int, fraction: float) -> float:
@@ -117,9 +119,10 @@ def _quartiles(images: DataFrame, columns: int) -> dict[int, tuple[int, float, f
 def quartiles(rows: DataFrame, columns: list[str]) -> dict[str, tuple[int, float, float]]:
     """Per column with values: their number and the exact quartiles, linearly interpolated.
 
-    Values become 64-bit images of the same order, written once. Five passes over them settle the places of all columns
-    at once, 13 bits each: a pass counts the images with the prefixes found so far by their next bits, on the map
-    side. Counts are all that is shuffled, at most 2 ** 13 a place, whatever the values and however they repeat.
+    Values become 64-bit images of the same order, written once. At most five passes over them settle the places of all
+    columns at once, 13 bits each: a pass counts the images with the prefixes found so far by their next bits, on the
+    map side. Once no prefix has more than 2 ** 13 values, the next pass takes all bits left. Counts are all that is
+    shuffled, at most 2 ** 13 a place, whatever the values and however they repeat.
     """
     return {columns[i]: found for i, found in _quartiles(value_images(rows, columns), len(columns)).items()}
 
