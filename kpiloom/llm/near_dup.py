@@ -1,22 +1,24 @@
-"""Near duplicates: a Jaccard join over word 5-grams by MinHash banding, verified exactly.
+"""Near duplicates: a Jaccard join over word 5-grams by a MinHash LSH forest, verified exactly.
 
 1. Every text becomes the set of its 5-grams of words (lower case; letters, digits and underscores make words), hashed
    to 64 bits. Texts with equal sets are copies: one of them stands for all, the others only count.
-2. A representative's MinHash signature is cut into TREES bands of one fixed depth: the longest, up to DEPTH, at which a
-   pair at the threshold is equal in some band with the target recall. It follows from these constants alone (4 hashes).
-   Representatives equal in a band are candidates. This is no LSH forest: no signatures are sorted and no prefix is
-   shortened by row. A forest cut at that depth has the same candidates, as those with a longer common prefix share the
-   shorter one too; equal keys are found by one shuffle, counted on the map side.
-3. Representatives equal in a band are compared by signature, in blocks, and joined into families; of a group only a
-   spanning forest is emitted, never its pairs. Connected families follow by passing on the smallest label. Pairs with
-   less than LIKELY equal signature bytes are not joined here.
+2. A representative's MinHash signature gives TREES labels of DEPTH levels, 16 bits each. Every tree is a prefix trie: its
+   labels sorted, so that the rows below a node are neighbours. Spark deals them by tree and the first SHORTEST
+   levels, the node above which no row has to climb, and sorts by the rest.
+3. Rows meet at their longest common prefix. Prefixes then shorten level by level, for every row as far as the target
+   recall asks: to the longest depth at which the least similar partner that a set of its size can have, at the
+   threshold or more, shares a prefix with it in some tree. A set of seven grams has none below 6/7 and stops at
+   depth 6, one of three has only copies, most stop at SHORTEST. A node whose rows are connected from below is done.
+   Rows that meet are compared by signature, in blocks, and joined into families; of a node only a spanning forest is
+   emitted, never its pairs. Connected families follow by passing on the smallest label. Pairs with less than LIKELY
+   equal signature bytes are not joined here.
 4. Within a family every pair is verified exactly on the sets rebuilt from the texts; a large family is split into
    blocks, and each pair of blocks is a group of its own. A group emits one row per document: how many links it has,
    and a representative that it is connected to. Classes are the connected components of the verified links.
 
 So links are counted, not listed: a group of n near copies costs n rows per block, though n^2 comparisons.
 
-The result is not exact: a pair at the threshold is equal in no band with probability 3.2e-6, and has less than LIKELY
+The result is not exact: a pair at the threshold meets in no tree with probability 3.2e-6, and has less than LIKELY
 equal signature bytes with probability 2.7e-6; it is lost unless others join its family. More similar pairs are lost less.
 
 Defined results: null and empty texts, and texts without words, have no 5-grams and no links and are classes of their
@@ -26,6 +28,7 @@ smallest other id if there is one; repeated rows are copies. An empty table give
 
 from __future__ import annotations
 
+import math
 import re
 import uuid
 from collections.abc import Callable, Iterator
@@ -40,8 +43,10 @@ from kpiloom.session import materialized
 
 GRAM = 5
 THRESHOLD = 0.8
-TREES, DEPTH = 24, 8
+TREES, DEPTH = 24, 6
 TARGET_RECALL = 0.99999
+#: Sets of so many hashes and more have partners as good as at the threshold.
+_LARGE = 64
 #: Share of equal signature bytes from which two representatives may be one family; links have 0.8 and more of them.
 LIKELY = 0.6
 #: Representatives compared with each other in one group; larger groups are split into pairs of blocks.
@@ -103,6 +108,28 @@ def depth_for(recall: float = TARGET_RECALL, threshold: float = THRESHOLD, trees
     return depth
 
 
+#: No row's prefix has to be shorter; Spark deals rows by this much of their labels.
+SHORTEST = depth_for()
+
+
+def least_similarity(size: int, threshold: float = THRESHOLD) -> float:
+    """The smallest similarity, at the threshold or more, of a set of this size with another that is not equal; 1 if none."""
+    least = 1.0
+    for union in range(size, int(size / threshold + 1e-9) + 1):
+        common = math.ceil(threshold * union - 1e-9)
+        if common <= size and common < union:
+            least = min(least, common / union)
+    return least
+
+
+_DEPTHS = np.array([SHORTEST if n >= _LARGE else depth_for(threshold=least_similarity(n)) for n in range(_LARGE + 1)])
+
+
+def depths(sizes: np.ndarray) -> np.ndarray:
+    """Per set size the depth to which prefixes are shortened."""
+    return _DEPTHS[np.minimum(sizes, _LARGE)]
+
+
 def _seeds(count: int) -> tuple[np.ndarray, np.ndarray]:
     made = np.random.default_rng(SEED).integers(1, 2**63, size=(2, count), dtype=np.uint64)
     return made[0] | np.uint64(1), made[1]
@@ -143,8 +170,8 @@ def _by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield pa.concat_tables(held)
 
 
-def _grouped(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str) -> DataFrame:
-    """`work` on each group of rows with equal keys, streamed through sorted partitions."""
+def _grouped(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Table | None], schema: str, then: list[str] | None = None) -> DataFrame:
+    """`work` on each group of rows with equal keys, sorted by `then`, streamed through sorted partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -159,7 +186,7 @@ def _grouped(rows: DataFrame, keys: list[str], work: Callable[[pa.Table], pa.Tab
         if held:
             yield from pa.concat_tables(held).combine_chunks().to_batches()
 
-    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, schema)
+    return rows.repartition(*keys).sortWithinPartitions(*keys, *(then or [])).mapInArrow(run, schema)
 
 
 def _roots(close: np.ndarray) -> np.ndarray:
@@ -203,39 +230,51 @@ def components(links: DataFrame) -> DataFrame:
             return placed
 
 
+def _labels(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per tree its label of a signature, 16 bits a level: the first SHORTEST levels as one number, those below as another."""
+    levels = (_mixed(values) & np.uint64(0xFFFF)).reshape(TREES, DEPTH)
+    top, below = np.zeros(TREES, np.uint64), np.zeros(TREES, np.uint64)
+    for level in range(SHORTEST):
+        top = top << np.uint64(16) | levels[:, level]
+    for level in range(SHORTEST, DEPTH):
+        below = below << np.uint64(16) | levels[:, level]
+    # two levels at most lie below SHORTEST
+    return top.view(np.int64), below.astype(np.uint32).view(np.int32)
+
+
 def signed(docs: DataFrame) -> DataFrame:
-    """Every row with `at` (its number), the digest of its gram set, and its signature: tree prefixes and one byte per hash.
+    """Every row with `at` (its number), the digest of its gram set, and its signature: the labels of its trees (trees, tails)
+    and one byte per hash of the first SHORTEST levels (marks).
 
     Columns besides text are kept in the struct `row`.
     """
-    depth = depth_for()
-    count = TREES * depth
+    count = TREES * DEPTH
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, trees, marks, sizes = [], [], [], []
+            digests, trees, tails, marks, sizes = [], [], [], [], []
             for text in batch.column("text"):
                 items = grams(text.as_py())
                 sizes.append(items.size)
                 if items.size == 0:
                     digests.append(uuid.uuid4().bytes)
                     trees.append([])
+                    tails.append([])
                     marks.append(b"")
                     continue
                 digests.append(np.array([_mixed(items).sum(), _mixed(items ^ _MIX[1]).sum()], np.uint64).tobytes())
                 values = signature(items, count)
-                prefix = np.zeros(TREES, np.uint64)
-                for level in range(depth):
-                    prefix = _mixed(prefix * _BASE + values[level::depth])
-                trees.append(prefix.view(np.int64))
-                marks.append((_mixed(values) & np.uint64(255)).astype(np.uint8).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(digests, pa.binary()), pa.array(trees, pa.list_(pa.int64())), pa.array(marks, pa.binary()), pa.array(sizes, pa.int32())],
-                [*batch.schema.names, "digest", "trees", "marks", "grams"])
+                top, below = _labels(values)
+                trees.append(top)
+                tails.append(below)
+                upper = _mixed(values.reshape(TREES, DEPTH)[:, :SHORTEST]) >> np.uint64(16)
+                marks.append((upper & np.uint64(255)).astype(np.uint8).tobytes())
+            made = [pa.array(digests, pa.binary()), pa.array(trees, pa.list_(pa.int64())), pa.array(tails, pa.list_(pa.int32())), pa.array(marks, pa.binary()), pa.array(sizes, pa.int32())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], [*batch.schema.names, "digest", "trees", "tails", "marks", "grams"])
 
     row = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
     numbered = docs.select(F.monotonically_increasing_id().alias("at"), F.col("doc_id").cast("long").alias("doc_id"), "text", row)
-    schema = T.StructType([*numbered.schema.fields, T.StructField("digest", T.BinaryType()), T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("marks", T.BinaryType()), T.StructField("grams", T.IntegerType())])
+    schema = T.StructType([*numbered.schema.fields, T.StructField("digest", T.BinaryType()), T.StructField("trees", T.ArrayType(T.LongType())), T.StructField("tails", T.ArrayType(T.IntegerType())), T.StructField("marks", T.BinaryType()), T.StructField("grams", T.IntegerType())])
     return materialized(numbered.mapInArrow(sign, schema), "signed")
 
 
@@ -247,29 +286,55 @@ def _paired(rows: DataFrame, keys: list[str], member: str) -> DataFrame:
     return rows.withColumn("mine", own).withColumn("other", other).withColumn("low", F.least("mine", "other")).withColumn("high", F.greatest("mine", "other")).drop("other")
 
 
+def _likely(marks: np.ndarray) -> np.ndarray:
+    """Which rows are to be one family, as a matrix."""
+    close = np.empty((len(marks), len(marks)), bool)
+    step = max(1, 8_000_000 // marks.size)
+    for i in range(0, len(marks), step):
+        close[i : i + step] = np.count_nonzero(marks[i : i + step, None] == marks[None], axis=2) >= LIKELY * marks.shape[1]
+    return close
+
+
+def climbed(tails: np.ndarray, depth: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """For the rows below one node of a trie, sorted by what follows of their labels: the first row of each row's family.
+
+    From the leaves up: at every level the rows of a node meet that still have to climb so far, unless they are
+    connected already.
+    """
+    root, label = np.arange(tails.size), tails.astype(np.int64) & 0xFFFFFFFF
+    for level in range(DEPTH, SHORTEST - 1, -1):
+        node = label >> (16 * (DEPTH - level))
+        cuts = np.flatnonzero(node[1:] != node[:-1]) + 1
+        for first, last in zip([0, *cuts], [*cuts, tails.size], strict=True):
+            met = np.arange(first, last)[depth[first:last] <= level]
+            if met.size < 2 or (root[met] == root[met[0]]).all():
+                continue
+            for mine, other in zip(met, met[_roots(_likely(marks[met]))], strict=True):
+                if root[mine] != root[other]:
+                    low, high = sorted((root[mine], root[other]))
+                    root[root == high] = low
+    return root
+
+
 def families(representatives: DataFrame) -> DataFrame:
-    """at, family: representatives that may have links, by connected candidate groups. representatives: at, trees, marks."""
-    likely = LIKELY
+    """at, family: representatives that may have links, by connected candidates. representatives: at, trees, tails, marks, grams."""
 
     def join_likely(group: pa.Table) -> pa.Table | None:
         if group.num_rows < 2:
             return None
         at = group["at"].to_numpy()
         marks = np.frombuffer(b"".join(group["marks"].to_pylist()), np.uint8).reshape(at.size, -1)
-        close = np.empty((at.size, at.size), bool)
-        step = max(1, 8_000_000 // marks.size)
-        for i in range(0, at.size, step):
-            close[i : i + step] = np.count_nonzero(marks[i : i + step, None] == marks[None], axis=2) >= likely * marks.shape[1]
-        root = _roots(close)
+        root = climbed(group["tail"].to_numpy(), depths(group["grams"].to_numpy()), marks)
         child = root != np.arange(at.size)
         return pa.table({"a": at[child], "b": at[root[child]]}) if child.any() else None
 
-    placed = representatives.select("at", F.posexplode("trees").alias("tree", "prefix"))
-    # groups of two and more; one row per prefix is counted on the map side
+    labels = F.posexplode(F.arrays_zip("trees", "tails")).alias("tree", "label")
+    placed = representatives.select("at", labels).select("at", "tree", F.col("label.trees").alias("prefix"), F.col("label.tails").alias("tail"))
+    # nodes of two and more rows; one row per node is counted on the map side
     crowded = placed.groupBy("tree", "prefix").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    inside = placed.join(crowded, ["tree", "prefix"]).join(representatives.select("at", "marks"), "at")
-    dealt = _paired(inside, ["tree", "prefix"], "at")
-    links = _grouped(dealt.select("tree", "prefix", "low", "high", "at", "marks"), ["tree", "prefix", "low", "high"], join_likely, "a long, b long")
+    inside = placed.join(crowded, ["tree", "prefix"]).join(representatives.select("at", "marks", "grams"), "at")
+    dealt = _paired(inside, ["tree", "prefix"], "at").select("tree", "prefix", "low", "high", "tail", "at", "marks", "grams")
+    links = _grouped(dealt, ["tree", "prefix", "low", "high"], join_likely, "a long, b long", ["tail"])
     return components(links).select(F.col("node").alias("at"), F.col("label").alias("family"))
 
 
@@ -338,8 +403,8 @@ def classified(rows: DataFrame) -> DataFrame:
     groups = materialized(groups, "copies")
     members = materialized(rows.select("at", "doc_id", "digest").join(groups, "digest").select("at", "doc_id", "rep", "copies"), "members")
     firsts = groups.select(F.col("rep").alias("at"), "copies")
-    heads = materialized(rows.where("grams > 0").select("at", "trees", "marks").join(firsts, "at"), "representatives")
-    family = materialized(families(heads.select("at", "trees", "marks")), "families")
+    heads = materialized(rows.where("grams > 0").select("at", "trees", "tails", "marks", "grams").join(firsts, "at"), "representatives")
+    family = materialized(families(heads.select("at", "trees", "tails", "marks", "grams")), "families")
     sizes = family.groupBy("family").agg(F.count(F.lit(1)).alias("members"))
     texts = family.join(sizes, "family").join(firsts, "at").join(rows.select("at", "text"), "at")
     found = materialized(verified(texts), "verified")

@@ -7,6 +7,7 @@ import random
 import re
 import uuid
 
+import numpy as np
 import pytest
 
 from kpiloom.llm import exact_dedup, near_dup
@@ -164,3 +165,41 @@ def test_depth_reaches_the_recall():
     depth = near_dup.depth_for()
     assert 1 - (1 - 0.8**depth) ** near_dup.TREES >= near_dup.TARGET_RECALL
     assert near_dup.depth_for(recall=0.5) > depth
+
+
+def test_prefixes_shorten_as_far_as_the_least_similar_partner():
+    for n in range(1, 80):
+        possible = [c / (n + m - c) for m in range(1, 2 * n) for c in range(1, min(n, m) + 1) if c < n + m - c and c / (n + m - c) >= 0.8 - 1e-12]
+        assert near_dup.least_similarity(n) == pytest.approx(min(possible, default=1.0))
+    depth = near_dup.depths(np.array([1, 3, 6, 7, 12, 63, 64, 10**6]))
+    assert depth.tolist() == [6, 6, 5, 6, 4, 4, 4, 4] and near_dup.SHORTEST == 4
+
+
+def test_rows_meet_at_their_longest_prefix():
+    same, other = [7] * 96, [9] * 96
+    tails = np.array([0x00010001, 0x00010002, 0x00020001, 0x00020001, 0x00030001], np.int32)
+    marks = np.array([same, same, same, other, other], np.uint8)
+    # all may climb to the node itself: what is alike is joined, wherever the prefixes part
+    assert near_dup.climbed(tails, np.full(5, 4), marks).tolist() == [0, 0, 0, 3, 3]
+    # rows that stop at 5 levels meet only those with five in common, at 6 those with the whole label
+    assert near_dup.climbed(tails, np.full(5, 5), marks).tolist() == [0, 0, 2, 3, 4]
+    assert near_dup.climbed(tails, np.full(5, 6), marks).tolist() == [0, 1, 2, 3, 4]
+    assert near_dup.climbed(tails, np.array([4, 6, 4, 4, 6]), marks).tolist() == [0, 1, 0, 3, 4]
+    # the first of a negative number's levels is one node like others
+    assert near_dup.climbed(np.array([-5, 3], np.int32), np.full(2, 4), marks[:2]).tolist() == [0, 0]
+
+
+def test_recall_of_pairs_close_to_the_threshold(spark):
+    rng = random.Random(11)
+    rows, wanted = [], 0
+    for pair in range(400):
+        n = rng.choice([6, 7, 9, 12, 20, 45, 90])
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n + 4)]
+        # a tail of new words takes grams away and adds as many: n - t of n + t stay common
+        t = rng.choice([t for t in range(1, n) if (n - t) / (n + t) >= 0.8] or [0])
+        changed = words[: n + 4 - t] + [f"x{rng.randrange(10**9)}" for _ in range(t)] if t else [*words, "one"]
+        wanted += 2
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(changed))]
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    linked = [r for r in got if r["n_links"] == 1 and r["class_id"] == r["doc_id"] // 2 * 2 and r["class_size"] == 2]
+    assert len(linked) >= 0.99 * wanted and not any(r["n_links"] > 1 for r in got)
