@@ -12,7 +12,8 @@ Several u are tried and the closest kept. No sort and no window over documents i
 
 Defined results: null sources are a source of their own, last in order; texts without words have size 0, rate 1
 and one copy that adds nothing; a target of twice the source takes every document twice. Rows equal in id and
-size share their copies. An empty table gives an empty result.
+size share their copies. An empty table gives an empty result. Columns of the caller may have any names; one named like an
+added column gives way to it. A source whose multiplier can't be settled is an error, never a mix off its target.
 """
 
 from __future__ import annotations
@@ -26,12 +27,16 @@ WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 #: No document is taken more often than this.
 MOST = 2
-NEWTON_STEPS = 60
+NEWTON_STEPS = 30
+#: Halvings of the bracket for sources that Newton steps leave unsettled; so many exhaust the precision of a double.
+HALVINGS = 66
 TOLERANCE = 1e-9
 STEPS_PER_JOB = 3
 #: The bracket of the multipliers; at HIGH a document of one word is at its cap, at LOW none is left.
 LOW, HIGH = -60.0, 0.7
 TRIALS = 4
+#: Columns that mixed() adds.
+ADDED = ("source_size", "target", "rate", "copies")
 #: Steps are whole numbers below 2^43; histograms narrow them down to these shifts in turn.
 RANGE_BITS, SHIFTS = 43, (33, 22, 11, 0)
 
@@ -84,17 +89,21 @@ def multipliers(counts: DataFrame, wanted: DataFrame, most: int = MOST) -> DataF
     state = materialized(wanted.select(
         "key", "target", F.when(full, F.lit(HIGH)).otherwise(F.lit(0.0)).alias("multiplier"),
         F.lit(LOW).alias("low"), F.lit(HIGH).alias("high"), full.alias("done")), "multipliers")
-    for _ in range(NEWTON_STEPS // STEPS_PER_JOB):
+    for job in range((NEWTON_STEPS + HALVINGS) // STEPS_PER_JOB):
         for _ in range(STEPS_PER_JOB):
-            state = _newton(counts, state, most)
+            state = _step(counts, state, most, halve=job >= NEWTON_STEPS // STEPS_PER_JOB)
         state = materialized(state, "multipliers")
         if state.where(~F.col("done")).isEmpty():
-            break
-    return state.select("key", "multiplier")
+            return state.select("key", "multiplier")
+    open_keys = [r["key"][1:] or None for r in state.where(~F.col("done")).select("key").limit(10).collect()]
+    raise RuntimeError(f"the multipliers of these sources do not settle: {open_keys}")
 
 
-def _newton(counts: DataFrame, state: DataFrame, most: int) -> DataFrame:
-    """One step of every source that is not settled; a step that leaves the bracket becomes a bisection."""
+def _step(counts: DataFrame, state: DataFrame, most: int, halve: bool) -> DataFrame:
+    """One Newton step of every source that is not settled; one that leaves the bracket becomes a bisection, as do all if `halve`.
+
+    A source is settled when it takes its target, or when no double lies within its bracket any more.
+    """
     at = rate(F.col("size"), F.col("multiplier"), most)
     words = F.col("documents") * F.col("size")
     sums = counts.join(state.where(~F.col("done")).select("key", "multiplier"), "key").groupBy("key").agg(
@@ -103,8 +112,10 @@ def _newton(counts: DataFrame, state: DataFrame, most: int) -> DataFrame:
     low = F.when(over < 0, F.col("multiplier")).otherwise(F.col("low"))
     high = F.when(over > 0, F.col("multiplier")).otherwise(F.col("high"))
     newton = F.col("multiplier") - over / F.when(F.col("slope") > 0, F.col("slope"))
-    step = F.when((newton > low) & (newton < high), newton).otherwise((low + high) / 2)
-    held = F.col("done") | F.coalesce(F.abs(over) <= F.col("target") * TOLERANCE, F.lit(True))
+    middle = (low + high) / 2
+    step = middle if halve else F.when((newton > low) & (newton < high), newton).otherwise(middle)
+    spent = (middle <= low) | (middle >= high)
+    held = F.col("done") | F.coalesce(F.abs(over) <= F.col("target") * TOLERANCE, F.lit(True)) | spent
     return state.join(sums, "key", "left").select(
         "key", "target", F.when(held, F.col("multiplier")).otherwise(step).alias("multiplier"),
         F.when(held, F.col("low")).otherwise(low).alias("low"), F.when(held, F.col("high")).otherwise(high).alias("high"), held.alias("done"))
@@ -114,53 +125,52 @@ def mixed(rows: DataFrame, share: float = SHARE, weights: tuple[int, ...] = WEIG
     """One row per row of `rows`, which has source and size besides the columns that tell documents apart.
 
     Adds source_size, target, rate and copies (0 to 2). Equal rows are counted first and expanded again with a number
-    each, so that they are rounded one by one.
+    each, so that they are rounded one by one. The caller's columns travel in one struct, so no name can clash.
     """
-    columns = [c for c in rows.columns if c not in ("source_size", "target", "rate", "copies")]
-    alike = rows.select(*columns).groupBy(*columns).agg(F.count(F.lit(1)).alias("__alike"))
-    alike = materialized(alike.withColumn("__key", source_key(F.col("source"))), "mix_rows")
-    counts = materialized(alike.where("size > 0").groupBy(F.col("__key").alias("key"), "size").agg(F.sum("__alike").alias("documents")), "mix_sizes")
-    sizes = alike.groupBy("source").agg(F.sum(F.col("size") * F.col("__alike")).alias("source_size"))
+    alike = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row")).groupBy("row").agg(F.count(F.lit(1)).alias("alike"))
+    alike = materialized(alike.select("row", "alike", F.col("row.size").alias("size"), source_key(F.col("row.source")).alias("key")), "mix_rows")
+    counts = materialized(alike.where("size > 0").groupBy("key", "size").agg(F.sum("alike").alias("documents")), "mix_sizes")
+    sizes = alike.groupBy(F.col("row.source").alias("source")).agg(F.sum(F.col("size") * F.col("alike")).alias("source_size"))
     wanted = materialized(targets(sizes, share, weights).withColumn("key", source_key(F.col("source"))).drop("source"), "mix_targets")
-    tilts = multipliers(counts, wanted)
-    settled = wanted.join(tilts, "key").withColumnRenamed("key", "__key")
-    expanded = alike.select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__alike"))).alias("__number"))
-    rated = materialized(expanded.join(settled, "__key").select(
-        *columns, "__key", "__number", "source_size", "target", rate(F.col("size"), F.col("multiplier")).alias("rate")), "mix_rates")
-    cuts = _cuts(rated, wanted, columns, seed)
-    chosen = rated.join(cuts, "__key", "left")
-    taken = sum(F.when(_step_at(columns, m, F.col("trial"), seed) < F.col("cut"), 1).otherwise(0) for m in range(1, MOST + 1))
-    return chosen.select(*columns, "source_size", "target", "rate", F.when(F.col("size") > 0, taken).otherwise(1).cast("int").alias("copies"))
-
-
-def _step_at(columns: list[str], copies: int, trial: Column, seed: int) -> Column:
+    settled = wanted.join(multipliers(counts, wanted), "key")
+    expanded = alike.select("row", "size", "key", F.explode(F.sequence(F.lit(1).cast("long"), F.col("alike"))).alias("number"))
+    rated = materialized(expanded.join(settled, "key").select(
+        "row", "size", "key", "number", "source_size", "target", rate(F.col("size"), F.col("multiplier")).alias("rate")), "mix_rates")
+    chosen = rated.join(_cuts(rated, wanted, seed), "key", "left")
+    taken = sum(F.when(_step_at(m, F.col("trial"), seed) < F.col("cut"), 1).otherwise(0) for m in range(1, MOST + 1))
+    copies = F.when(F.col("size") > 0, taken).otherwise(1).cast("int").alias("copies")
+    given = [F.col("row")[c].alias(c) for c in rows.columns if c.lower() not in ADDED]
+    return chosen.select(*given, "source_size", "target", "rate", copies)
+
+
+def _step_at(copies: int, trial: Column, seed: int) -> Column:
     """The shift, as a whole number of 2^-40, at which a document gets that many copies."""
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), trial, F.col("__number"), *columns), 24)
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(seed), trial, F.col("number"), F.col("row")), 24)
     return F.floor((F.lit(copies + 2.0) - F.col("rate")) * float(1 << 40)).cast("long") - unit
 
 
-def _cuts(rated: DataFrame, wanted: DataFrame, columns: list[str], seed: int) -> DataFrame:
+def _cuts(rated: DataFrame, wanted: DataFrame, seed: int) -> DataFrame:
     """Per source the trial and the cut: steps below it are taken."""
     trial = F.explode(F.array(*[F.lit(t) for t in range(TRIALS)])).alias("trial")
     steps = rated.where("size > 0").select("*", trial).select(
-        "__key", "size", "trial", F.explode(F.array(*[_step_at(columns, m, F.col("trial"), seed) for m in range(1, MOST + 1)])).alias("at"))
-    state = wanted.select(F.col("key").alias("__key"), "target", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
+        "key", "size", "trial", F.explode(F.array(*[_step_at(m, F.col("trial"), seed) for m in range(1, MOST + 1)])).alias("at"))
+    state = wanted.select("key", "target", F.lit(0).cast("long").alias("prefix"), F.lit(0).cast("long").alias("below"))
     state = state.select("*", trial)
     held = RANGE_BITS
     for shift in SHIFTS:
-        inside = steps.join(state, ["__key", "trial"]).where(F.shiftright("at", held) == F.col("prefix"))
-        bins = inside.groupBy("__key", "trial", F.shiftright("at", shift).alias("bin")).agg(
+        inside = steps.join(state, ["key", "trial"]).where(F.shiftright("at", held) == F.col("prefix"))
+        bins = inside.groupBy("key", "trial", F.shiftright("at", shift).alias("bin")).agg(
             F.sum("size").alias("words"), F.first("below").alias("below"), F.first("target").alias("target"))
-        running = Window.partitionBy("__key", "trial").orderBy("bin")
+        running = Window.partitionBy("key", "trial").orderBy("bin")
         bins = bins.withColumn("upto", F.col("below") + F.sum("words").over(running.rowsBetween(Window.unboundedPreceding, 0)))
         # the first bin that reaches the target, or the last one where rounding keeps all below it
-        found = bins.groupBy("__key", "trial").agg(
+        found = bins.groupBy("key", "trial").agg(
             F.first("target").alias("target"),
             F.coalesce(F.min(F.when(F.col("upto") >= F.col("target"), F.struct("bin", "upto", "words"))), F.max(F.struct("bin", "upto", "words"))).alias("at"))
         state = materialized(found.select(
-            "__key", "trial", "target", F.col("at.bin").alias("prefix"), (F.col("at.upto") - F.col("at.words")).alias("below"), F.col("at.upto").alias("upto")), "mix_cuts")
+            "key", "trial", "target", F.col("at.bin").alias("prefix"), (F.col("at.upto") - F.col("at.words")).alias("below"), F.col("at.upto").alias("upto")), "mix_cuts")
         held = shift
     without, with_it = F.abs(F.col("target") - F.col("below")), F.abs(F.col("upto") - F.col("target"))
     return state.select(
-        "__key", F.struct(F.least(without, with_it).alias("miss"), "trial", (F.col("prefix") + F.when(with_it < without, 1).otherwise(0)).alias("cut")).alias("best"),
-    ).groupBy("__key").agg(F.min("best").alias("best")).select("__key", F.col("best.trial").alias("trial"), F.col("best.cut").alias("cut"))
+        "key", F.struct(F.least(without, with_it).alias("miss"), "trial", (F.col("prefix") + F.when(with_it < without, 1).otherwise(0)).alias("cut")).alias("best"),
+    ).groupBy("key").agg(F.min("best").alias("best")).select("key", F.col("best.trial").alias("trial"), F.col("best.cut").alias("cut"))

@@ -1,6 +1,8 @@
 """Keyed shuffle into shards, and mixing to target weights."""
 
+import collections
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -78,6 +80,52 @@ def test_mix_meets_targets_and_solves_the_dual(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
+def test_mix_with_clashing_names_and_repeated_rows(spark):
+    names = "`key` string, `row` int, `number` string, `trial` int, `cut` long, `__key` string, `a.b` int, target string, Rate int, source string, size long"
+    sources = ["x"] * 40 + ["y"] * 20 + [None] * 30
+    rows = [("k", 1 if i % 4 else None, None, i // 2, 5, "", 3, "t", 9, s, i % 7) for i, s in enumerate(sources)]
+    got = mixing.mixed(spark.createDataFrame(rows, names))
+    assert got.columns == ["key", "row", "number", "trial", "cut", "__key", "a.b", "source", "size", "source_size", "target", "rate", "copies"]
+    got = got.collect()
+    assert sorted(map(repr, (r[:7] + r[7:9] for r in got))) == sorted(map(repr, (r[:7] + r[9:] for r in rows)))
+    for s in ("x", "y", None):
+        mine = [r for r in got if r["source"] == s]
+        assert abs(sum(r["size"] * r["copies"] for r in mine) - mine[0]["target"]) <= 6 and all(r["copies"] in (0, 1, 2) for r in mine)
+
+
+def test_mix_query_takes_its_targets(spark):
+    """The query beside its own account of sizes and targets, made in plain Python."""
+    folder = "/root/testdata/sf0.001"
+    got = queries.op2_mix(spark, folder).collect()
+    docs = {r["doc_id"]: r for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    sizes = {d: len(re.findall(r"[^\x20\x09-\x0D]+", r["text"] or "")) for d, r in docs.items()}
+    totals = collections.Counter()
+    for d, r in docs.items():
+        totals[r["source"]] += sizes[d]
+    left, target, wanted = sorted(totals, key=lambda s: (s is None, s)), {}, 1.5 * sum(totals.values())
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(left)}
+    while left:
+        level = (wanted - sum(target.values())) / sum(weight[s] for s in left)
+        full = [s for s in left if weight[s] * level >= 2 * totals[s]]
+        target |= {s: 2 * totals[s] if s in full else weight[s] * level for s in (full or left)}
+        left = [s for s in left if s not in full] if full else []
+    assert len(got) == len(docs)
+    taken, longest = collections.Counter(), max(sizes.values())
+    for r in got:
+        assert r["size"] == sizes[r["doc_id"]] and r["source_size"] == totals[docs[r["doc_id"]]["source"]]
+        assert r["target"] == pytest.approx(target[docs[r["doc_id"]]["source"]]) and 0 <= r["taken"] <= 2 * r["size"]
+        taken[docs[r["doc_id"]]["source"]] += r["taken"]
+    assert all(abs(taken[s] - target[s]) <= longest for s in totals)
+
+
+def test_sources_that_do_not_settle_are_an_error(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "NEWTON_STEPS", 0)
+    monkeypatch.setattr(mixing, "HALVINGS", 3)
+    df = spark.createDataFrame([(i, "a" if i % 3 else "b", i % 50 + 1) for i in range(200)], "doc_id long, source string, size long")
+    with pytest.raises(RuntimeError, match="do not settle"):
+        mixing.mixed(df)
+
+
 def test_mix_of_nothing(spark):
     assert mixing.mixed(spark.createDataFrame([], "doc_id long, source string, size long")).collect() == []
 
