@@ -4,9 +4,9 @@ Two gated recurrent layers (update gate, reset gate, candidate) read a text's UT
 over both states labels every position, and a document's probabilities are the mean of its positions'. Long texts are
 read in segments of SEGMENT bytes, all of them. The network is trained here in numpy by backpropagation through time
 (Adam on the cross-entropy of every position), on a bounded sample: SAMPLE_PER_LANGUAGE documents of each language,
-those with the smallest digests of their ids, SEGMENTS_PER_DOCUMENT segments of TRAIN_BYTES characters each, of which the first
-2 x TRAIN_BYTES bytes are learned from (a script of three bytes a letter loses a third, perhaps inside a letter); of several rows with one id and
-language, the text with the smallest digest. Its only input are bytes.
+those with the smallest digests of their ids, SEGMENTS_PER_DOCUMENT pieces of TRAIN_CHARACTERS characters each, learned from
+whole whatever their bytes; of several rows with one id and language, the text with the smallest digest. Its only input
+are bytes.
 
 Defined results: texts that are null or have no letter are `und` with score 0; rows without a language or an id are
 not learned from; without any language to learn everything is `und`; repeated rows get equal results; columns that
@@ -31,7 +31,9 @@ HIDDEN = 8
 SEGMENT = 192
 #: Segments read side by side.
 BATCH = 4096
-SAMPLE_PER_LANGUAGE, SEGMENTS_PER_DOCUMENT, TRAIN_BYTES = 300, 3, 64
+SAMPLE_PER_LANGUAGE, SEGMENTS_PER_DOCUMENT, TRAIN_CHARACTERS = 300, 3, 64
+#: Parts of a language that are ranked on their own before their best are ranked together.
+SAMPLE_PARTS = 64
 TRAIN_STEPS, TRAIN_BATCH, RATE = 350, 192, 0.02
 SEED = 3
 _LETTER = re.compile(r"[^\W\d_]")
@@ -204,8 +206,12 @@ def held_out(doc_id: Column) -> Column:
 def sample(docs: DataFrame) -> DataFrame:
     """Bounded sample of the documents that are not held out: doc_id, lang, text; one row for each id and language."""
     usable = docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc_id")))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    ids = usable.select("doc_id", "lang").distinct().withColumn("place", place).where(F.col("place") <= SAMPLE_PER_LANGUAGE).select("doc_id", "lang")
+    ids = usable.select("doc_id", "lang").distinct().withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(SAMPLE_PARTS)))
+    # the best of a language are among the best of its parts, so no task ranks all ids of one
+    for keys in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(F.xxhash64("doc_id"), "doc_id"))
+        ids = ids.withColumn("place", place).where(F.col("place") <= SAMPLE_PER_LANGUAGE).drop("place")
+    ids = ids.select("doc_id", "lang")
     # at most SAMPLE_PER_LANGUAGE rows a language; copies of an id are combined on the map side
     met = usable.join(F.broadcast(ids), ["doc_id", "lang"], "left_semi")
     return met.groupBy("doc_id", "lang").agg(F.min_by("text", F.sha2("text", 256)).alias("text"))
@@ -213,14 +219,14 @@ def sample(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame) -> ByteNetwork | None:
     """Trains on the documents (doc_id, text, lang) that are not held out."""
-    offset = lambda i: F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(F.lit(1), F.length("text") - TRAIN_BYTES)).cast("int") + 1
-    pieces = sample(docs).select("doc_id", "lang", F.explode(F.array(*[F.substring(F.col("text"), offset(i), F.lit(TRAIN_BYTES)) for i in range(SEGMENTS_PER_DOCUMENT)])).alias("piece"))
+    offset = lambda i: F.pmod(F.xxhash64("doc_id", F.lit(i)), F.greatest(F.lit(1), F.length("text") - TRAIN_CHARACTERS)).cast("int") + 1
+    pieces = sample(docs).select("doc_id", "lang", F.explode(F.array(*[F.substring(F.col("text"), offset(i), F.lit(TRAIN_CHARACTERS)) for i in range(SEGMENTS_PER_DOCUMENT)])).alias("piece"))
     rows = sorted(((r["lang"], r["doc_id"], r["piece"]) for r in pieces.collect() if r["piece"] and _LETTER.search(r["piece"])))
     languages = sorted({r[0] for r in rows})
     if not languages:
         return None
     network = ByteNetwork.new(languages)
-    network.train([r[2].encode("utf-8", "surrogatepass")[: 2 * TRAIN_BYTES] for r in rows], np.array([languages.index(r[0]) for r in rows]))
+    network.train([r[2].encode("utf-8", "surrogatepass") for r in rows], np.array([languages.index(r[0]) for r in rows]))
     return network
 
 

@@ -187,6 +187,36 @@ def test_toxic_documents_are_found_and_others_left(spark):
     assert mild < severe
 
 
+def test_toxicity_query_beside_a_plain_account(spark):
+    """The query's rows follow from the fitted weights and thresholds by the formula of the cumulative link, word by word."""
+    folder = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    model = queries.toxicity_model(spark, spark.read.parquet(f"{folder}/documents.parquet"), folder)
+    assert model.weights and model.thresholds == sorted(model.thresholds)
+    got = queries.op4_toxicity(spark, folder).collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(docs)
+    for r in got:
+        seen = {}
+        for word in re.split(r"[\W\d_]+", (docs[r["doc_id"]] or "").lower()):
+            for feature in {word} | {word[:n] + "*" for n in (4, 5, 6) if len(word) > n}:
+                seen[feature] = seen.get(feature, 0) + 1
+        score = sum(model.weights.get(f, 0.0) * math.log2(1 + n) for f, n in seen.items() if f)
+        above = [1 / (1 + math.exp(t - score)) for t in model.thresholds]
+        assert math.isclose(r["severity"], sum(above), abs_tol=1e-9) and math.isclose(r["toxicity"], above[0], abs_tol=1e-9)
+        assert r["toxic"] == (r["toxicity"] >= 0.5)
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{folder}/labels.parquet").select("doc_id", "toxic").collect()}
+    assert not [r["doc_id"] for r in got if r["toxic"] and labels.get(r["doc_id"]) == 0]
+
+
+def test_graded_null_texts_and_tied_labels(spark):
+    rows = toxic_rows()
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(700, None), (701, "")], "doc_id long, text string")
+    grades = [(i, g) for i, _, g in rows] + [(700, 1), (701, 1), (0, 0), (0, 1), (3, 0)]
+    model = toxicity.fit(docs, spark.createDataFrame(grades, "doc_id long, grade int"), graded_by_count=True)
+    got = {r["doc_id"]: r for r in toxicity.scored(docs, model).collect()}
+    assert not got[700]["toxic"] and not got[701]["toxic"] and all(got[i]["toxic"] == bool(g) for i, _, g in rows)
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, grade int"))
@@ -232,6 +262,50 @@ def test_gradients_through_time():
         assert math.isclose((up - down) / (2 * step), g[at], rel_tol=0.02, abs_tol=1e-5)
 
 
+def plain_chances(network, text):
+    """Mean probabilities of one text, byte by byte and segment by segment."""
+    def states(layer, part):
+        h, out = np.zeros(layer["uz"].shape[0]), []
+        for byte in part:
+            z, r = (1 / (1 + np.exp(-(layer["t" + g][byte] + h @ layer["u" + g]))) for g in "zr")
+            h = (1 - z) * h + z * np.tanh(layer["tc"][byte] + (r * h) @ layer["uc"])
+            out.append(h)
+        return out
+
+    total = np.zeros(len(network.languages))
+    for at in range(0, len(text), langid.SEGMENT):
+        part = text[at : at + langid.SEGMENT]
+        for f, b in zip(states(network.forward, part), states(network.backward, part[::-1])[::-1], strict=True):
+            e = np.exp(f @ network.out_forward + b @ network.out_backward + network.bias)
+            total += e / e.sum()
+    return total / len(text)
+
+
+def test_inference_beside_a_plain_forward_pass():
+    network = langid.ByteNetwork.new(["a", "b", "c"])
+    texts = [t.encode() for t in ("x", "Words of one text. " * 3, "é中文字 " * 60, "y" * langid.SEGMENT, "z" * (2 * langid.SEGMENT + 1))]
+    got = network.documents(texts)
+    assert np.allclose(got, [plain_chances(network, t) for t in texts], atol=1e-5)
+
+
+def test_the_sample_in_parts_is_that_of_the_whole(spark, monkeypatch):
+    docs = spark.range(4000).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'en', 'zh') AS lang", "'text' AS text")
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 20)
+    want = []
+    for lang in ("en", "zh"):
+        rows = docs.where(~langid.held_out(docs["doc_id"])).where(docs["lang"] == lang).selectExpr("doc_id", "xxhash64(doc_id) AS digest").collect()
+        want += [r["doc_id"] for r in sorted(rows, key=lambda r: (r["digest"], r["doc_id"]))[:20]]
+    assert sorted(r["doc_id"] for r in langid.sample(docs).collect()) == sorted(want)
+
+
+def test_scripts_of_three_bytes_are_learned_whole(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(langid.ByteNetwork, "train", lambda self, segments, labels: seen.extend(segments))
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 4 != 2]
+    langid.fit(spark.createDataFrame([(i, "字" * 100, "zh") for i in ids], "doc_id long, text string, lang string"))
+    assert len(seen) == len(ids) * langid.SEGMENTS_PER_DOCUMENT and {s.decode() for s in seen} == {"字" * langid.TRAIN_CHARACTERS}
+
+
 def test_language_query_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
