@@ -10,23 +10,16 @@ class ConfigError(ValueError):
     """A declaration that cannot be run."""
 
 
-# Per metric type, the extra fields it must have and the ones it must not have.
-NEEDED = {
-    "sum": {"source_col"},
-    "ratio": {"numerator", "denominator", "scale"},
-    "per_unit": {"numerator", "denominator"},
-    "count": set(),
-    "conditional_count": {"source_col", "condition_values"},
-    "completion_pct": {"source_col", "complete_values", "scale"},
-}
-BARRED = {
-    "sum": {"numerator", "denominator"},
-    "ratio": {"source_col"},
-    "per_unit": {"source_col"},
-    "count": {"source_col", "numerator", "denominator", "condition_values", "complete_values"},
-    "conditional_count": {"numerator", "denominator", "complete_values"},
-    "completion_pct": {"numerator", "denominator", "condition_values"},
+# Per metric type, the fields it must set (True) and the ones it must not set (False).
+RULES = {
+    "sum": {"source_col": True, "numerator": False},
+    "ratio": {"numerator": True, "denominator": True, "scale": True, "source_col": False},
+    "per_unit": {"numerator": True, "denominator": True, "source_col": False},
+    "count": {"source_col": False, "numerator": False, "denominator": False, "condition_values": False, "complete_values": False},
+    "conditional_count": {"source_col": True, "condition_values": True, "numerator": False, "denominator": False, "complete_values": False},
+    "completion_pct": {"source_col": True, "complete_values": True, "scale": True, "numerator": False, "denominator": False, "condition_values": False},
 }
+VALUE_LISTS = ("condition_values", "complete_values")
 DESCRIPTIVE = ("id", "label", "type", "unit", "decimals", "description")
 
 
@@ -63,26 +56,18 @@ class Metric:
 
 
 def metric(declared: dict[str, Any]) -> Metric:
-    """Build one metric, naming the first field that breaks the rules of its type."""
-    label = declared.get("id", "?")
-    absent = [name for name in DESCRIPTIVE if name not in declared]
-    if absent:
-        raise ConfigError(f"metric {label!r} lacks {absent}")
-    kind = declared["type"]
-    if kind not in NEEDED:
-        raise ConfigError(f"metric {label!r} has unknown type {kind!r}; known: {sorted(NEEDED)}")
-    absent = sorted(NEEDED[kind] - declared.keys())
-    if absent:
-        raise ConfigError(f"metric {label!r} of type {kind!r} lacks {absent}")
-    excess = sorted(BARRED[kind] & declared.keys())
-    if excess:
-        raise ConfigError(f"metric {label!r} of type {kind!r} must not set {excess}")
-    for name in ("condition_values", "complete_values"):
-        if name in declared and not (isinstance(declared[name], (list, tuple)) and declared[name]):
-            raise ConfigError(f"metric {label!r}: {name} must be a list with at least one value")
-    known = {f.name for f in fields(Metric)}
-    values = {k: tuple(v) if isinstance(v, list) else v for k, v in declared.items() if k in known}
-    return Metric(**values)
+    """Build one metric; the error of a wrong one tells everything that is wrong with it."""
+    kind = declared.get("type")
+    rules = dict.fromkeys(DESCRIPTIVE, True) | RULES.get(kind, {})
+    faults = [f"{'lacks' if must else 'must not set'} {name}" for name, must in rules.items() if (name in declared) != must]
+    if "type" in declared and kind not in RULES:
+        faults.append(f"has the type {kind!r}, which is none of {sorted(RULES)}")
+    given = {name: declared[name] for name in VALUE_LISTS if name in declared}
+    faults += [f"needs a list of values as {name}" for name, value in given.items() if not (value and isinstance(value, (list, tuple)))]
+    if faults:
+        raise ConfigError(f"metric {declared.get('id', '?')!r} " + "; ".join(faults))
+    own = {f.name: declared[f.name] for f in fields(Metric) if f.name in declared}
+    return Metric(**own | {name: tuple(value) for name, value in given.items()})
 
 
 @dataclass(frozen=True)
