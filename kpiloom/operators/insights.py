@@ -31,10 +31,41 @@ COMPLETION_ADVICE = {
     "commercial": "Advance commercial workstreams; this category has the lowest completion rate.",
     "capital": "Advance capital formation activities; this category has the lowest completion rate.",
 }
+# Per rule its recommendation and its rationale; braces take figures and names.
+RULE_TEXTS = {
+    "critical_blockers": ("Resolve {} before advancing to project gate review.", "{} must be closed before milestone progression."),
+    "top_gap": ("Address open gaps in the {} category to improve overall readiness.", "{} has the highest open gap count ({})."),
+    "lowest_completion": ("Focus on the {} category, which has the lowest readiness completion rate.", "{} has the lowest completion rate ({})."),
+    "hold": ("Hold transaction and RFP outreach until overall readiness improves.", "Overall readiness is {}, below the 60% threshold for external engagement."),
+    "prepare": ("Prepare market-facing materials and investor outreach packages.", "Overall readiness is {} with no critical blockers."),
+    "no_data": ("Review readiness metrics to identify gaps and priorities.", "Readiness data is incomplete or unavailable."),
+    "none_fired": ("Review readiness metrics to identify gaps and priorities.", "No specific recommendations apply given the current readiness data."),
+}
+# Sentences and names of the assessment.
+SUMMARY_TEXTS = {
+    "completion": "This readiness snapshot shows {} completion{}.",
+    "counts": "Current data shows {}.",
+    "nothing": "Readiness data is insufficient for assessment.",
+    "weakness": "The most material weakness is {} readiness ({} completion).",
+}
+POSTURES = {"not_ready": "Not RFP-Ready", "at_risk": "At Risk", "unknown": "Insufficient Data", "ready": "RFP-Ready", "progressing": "Progressing"}
+OUTREACH = {
+    "hold": "Hold transaction and RFP outreach until overall readiness improves.",
+    "blocked": "Resolve critical blockers before advancing to external engagement.",
+    "ready": "Proceed — prepare market-facing materials and investor outreach packages.",
+    "progressing": "Continue gap resolution to advance toward the RFP readiness threshold.",
+    "unknown": "Review readiness metrics to determine transaction posture.",
+}
 # Completion percent below which outreach waits, and from which it may start.
 HOLD_BELOW, READY_FROM = 60, 80
 
 
+def _filled(text: str, *columns: Column) -> Column:
+    """The text with the columns in place of its braces; null where one of them is null."""
+    first, *rest = text.split("{}")
+    return F.concat(F.lit(first), *[part for column, after in zip(columns, rest, strict=True) for part in (column, F.lit(after))])
+
+
 def sorted_snapshot(long: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Newest value per metric, by label."""
     keys = keys or []
@@ -139,32 +170,22 @@ def _rule(name: str, when: Column, severity: str, recommendation: Column, ration
 def _rules() -> list[Column]:
     crit, pct = F.col("crit_count"), F.col("overall_pct")
     gap, low = F.col("gap_category"), F.col("weakest_category")
+    advice, why = ({rule: texts[i] for rule, texts in RULE_TEXTS.items()} for i in (0, 1))
     return [
         _rule(
             "critical_blockers", crit > 0, "critical",
-            F.concat(F.lit("Resolve "), counted(crit, "critical blocker"), F.lit(" before advancing to project gate review.")),
-            F.concat(counted(crit, "critical item"), F.lit(" must be closed before milestone progression.")),
+            _filled(advice["critical_blockers"], counted(crit, "critical blocker")), _filled(why["critical_blockers"], counted(crit, "critical item")),
         ),
         _rule(
             "top_gap", F.col("gap_category_count") > 0, "high",
-            _advice(GAP_ADVICE, gap, F.concat(F.lit("Address open gaps in the "), gap, F.lit(" category to improve overall readiness."))),
-            F.concat(gap, F.lit(" has the highest open gap count ("), F.col("gap_category_count").cast("string"), F.lit(").")), gap,
+            _advice(GAP_ADVICE, gap, _filled(advice["top_gap"], gap)), _filled(why["top_gap"], gap, F.col("gap_category_count").cast("string")), gap,
         ),
         _rule(
             "lowest_completion", low.isNotNull(), "high",
-            _advice(COMPLETION_ADVICE, low, F.concat(F.lit("Focus on the "), low, F.lit(" category, which has the lowest readiness completion rate."))),
-            F.concat(low, F.lit(" has the lowest completion rate ("), percent_text(F.col("weakest_pct")), F.lit(").")), low,
-        ),
-        _rule(
-            "hold", pct < HOLD_BELOW, "medium",
-            F.lit("Hold transaction and RFP outreach until overall readiness improves."),
-            F.concat(F.lit("Overall readiness is "), percent_text(pct), F.lit(", below the 60% threshold for external engagement.")),
-        ),
-        _rule(
-            "prepare", (pct >= READY_FROM) & (crit == 0), "low",
-            F.lit("Prepare market-facing materials and investor outreach packages."),
-            F.concat(F.lit("Overall readiness is "), percent_text(pct), F.lit(" with no critical blockers.")),
+            _advice(COMPLETION_ADVICE, low, _filled(advice["lowest_completion"], low)), _filled(why["lowest_completion"], low, percent_text(F.col("weakest_pct"))), low,
         ),
+        _rule("hold", pct < HOLD_BELOW, "medium", F.lit(advice["hold"]), _filled(why["hold"], percent_text(pct))),
+        _rule("prepare", (pct >= READY_FROM) & (crit == 0), "low", F.lit(advice["prepare"]), _filled(why["prepare"], percent_text(pct))),
     ]
 
 
@@ -175,10 +196,7 @@ def recommendations(long: DataFrame, keys: list[str] | None = None, rules: set[s
     no rule fired, gets one generic row.
     """
     keys = keys or []
-    generic = F.lit("Review readiness metrics to identify gaps and priorities.")
-    always = F.lit(True)
-    no_data = _rule("no_data", always, "low", generic, F.lit("Readiness data is incomplete or unavailable."))
-    none_fired = _rule("none_fired", always, "low", generic, F.lit("No specific recommendations apply given the current readiness data."))
+    no_data, none_fired = (_rule(name, F.lit(True), "low", *map(F.lit, RULE_TEXTS[name])) for name in ("no_data", "none_fired"))
     fired = F.filter(F.array(*_rules()), lambda r: r.isNotNull())
     chosen = (
         F.when(~F.col("has_readiness"), F.array(no_data)).when(F.size(F.col("fired")) == 0, F.array(none_fired)).otherwise(F.col("fired"))
@@ -194,27 +212,21 @@ def assessment(long: DataFrame, keys: list[str] | None = None) -> DataFrame:
     pct, crit, gaps = F.col("overall_pct"), F.col("crit_count"), F.col("gap_count")
     blocked = crit > 0
     posture = (
-        F.when(blocked & (pct.isNull() | (pct < HOLD_BELOW)), "Not RFP-Ready").when(blocked, "At Risk")
-        .when(pct.isNull(), "Insufficient Data").when(pct >= READY_FROM, "RFP-Ready")
-        .when(pct >= HOLD_BELOW, "Progressing").otherwise("Not RFP-Ready")
+        F.when(blocked & (pct.isNull() | (pct < HOLD_BELOW)), POSTURES["not_ready"]).when(blocked, POSTURES["at_risk"])
+        .when(pct.isNull(), POSTURES["unknown"]).when(pct >= READY_FROM, POSTURES["ready"])
+        .when(pct >= HOLD_BELOW, POSTURES["progressing"]).otherwise(POSTURES["not_ready"])
     )
     details = F.concat_ws(" and ", counted(gaps, "open gap"), F.concat(counted(crit, "critical item"), F.lit(" unresolved")))
+    also = F.when(details != "", F.concat(F.lit(", with "), details)).otherwise("")
     summary = (
-        F.when(pct.isNotNull(), F.concat(
-            F.lit("This readiness snapshot shows "), percent_text(pct), F.lit(" completion"),
-            F.when(details != "", F.concat(F.lit(", with "), details)).otherwise(""), F.lit(".")))
-        .when(details != "", F.concat(F.lit("Current data shows "), details, F.lit(".")))
-        .otherwise("Readiness data is insufficient for assessment.")
+        F.when(pct.isNotNull(), _filled(SUMMARY_TEXTS["completion"], percent_text(pct), also))
+        .when(details != "", _filled(SUMMARY_TEXTS["counts"], details)).otherwise(SUMMARY_TEXTS["nothing"])
     )
     weakest = title_text(F.replace(F.col("weakest_category"), F.lit("_"), F.lit(" ")))
-    note = F.concat(F.lit("The most material weakness is "), weakest, F.lit(" readiness ("),
-                    percent_text(F.col("weakest_pct")), F.lit(" completion)."))
+    note = _filled(SUMMARY_TEXTS["weakness"], weakest, percent_text(F.col("weakest_pct")))
     outreach = (
-        F.when(pct < HOLD_BELOW, "Hold transaction and RFP outreach until overall readiness improves.")
-        .when(blocked, "Resolve critical blockers before advancing to external engagement.")
-        .when(pct >= READY_FROM, "Proceed — prepare market-facing materials and investor outreach packages.")
-        .when(pct.isNotNull(), "Continue gap resolution to advance toward the RFP readiness threshold.")
-        .otherwise("Review readiness metrics to determine transaction posture.")
+        F.when(pct < HOLD_BELOW, OUTREACH["hold"]).when(blocked, OUTREACH["blocked"]).when(pct >= READY_FROM, OUTREACH["ready"])
+        .when(pct.isNotNull(), OUTREACH["progressing"]).otherwise(OUTREACH["unknown"])
     )
     return standing(long, keys).select(
         *keys, posture.alias("posture"), summary.alias("summary"),
