@@ -16,7 +16,7 @@ from kpiloom.operators.schema import Normalized, normalize
 from kpiloom.plans import sales as sa
 from kpiloom.plans.metrics import metric_tables, published_long
 from kpiloom.plans.registry import (
-    ConfigError, MARKET_METRICS, MARKET_SCHEMA, READINESS_METRICS, READINESS_SCHEMA, fact_schema, intake_config, registry,
+    ConfigError, MARKET_METRICS, MARKET_SCHEMA, READINESS_METRICS, READINESS_SCHEMA, fact_schema, intake_config, metric, registry,
 )
 
 JAN, FEB = dt.date(2024, 1, 1), dt.date(2024, 2, 1)
@@ -79,6 +79,15 @@ def test_all_null_sum_is_zero_and_zero_denominator_is_null(spark):
     assert got[("total_revenue",)] == 0.0 and got[("utilization_pct",)] is None
 
 
+def test_all_faults_of_a_metric_are_named():
+    with pytest.raises(ConfigError) as error:
+        metric({"id": "m", "label": "M", "type": "sum", "unit": "u", "decimals": 0, "numerator": "a", "complete_values": []})
+    for fault in ("lacks description", "lacks source_col", "must not set numerator", "complete_values"):
+        assert fault in str(error.value)
+    with pytest.raises(ConfigError, match="none of"):
+        metric({"id": "m", "label": "M", "type": "mean", "unit": "u", "decimals": 0, "description": ""})
+
+
 def test_missing_input_is_refused(facts):
     with pytest.raises(ConfigError):
         published_long(facts.drop("revenue"), MARKET_METRICS)
