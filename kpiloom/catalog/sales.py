@@ -16,8 +16,8 @@ WITH = f"WITH {S.SALES} "
 RAW = f"WITH {S.SALES_RAW} "
 
 
-def orders(spark, folder):
-    return views.sales_orders(spark, folder)
+def orders(spark, folder, by_order=False):
+    return views.sales_orders(spark, folder, by_order)
 
 
 SQL1 = WITH + f"SELECT {S.cents('sum(sales)')} AS total_revenue, {S.cents('sum(profit)')} AS total_profit, {S.money('sum(profit)::DOUBLE / nullif(sum(sales)::DOUBLE, 0) * 100')} AS profit_margin_pct FROM sales"
@@ -77,7 +77,7 @@ def by_discount(spark, folder):
 
 @query("SQL9", SQL9)
 def repeat_or_not(spark, folder):
-    return sa.repeat_customers(orders(spark, folder))
+    return sa.repeat_customers(orders(spark, folder, by_order=True))
 
 
 @query("SQL10", SQL10)
@@ -124,7 +124,7 @@ _AGG16 = (WITH + "SELECT CASE WHEN n = 1 THEN 'One-time Customer' ELSE 'Repeat C
 @query("AGG16_all", _AGG16)
 def products_bought_again_by_a_customer(spark, folder):
     """Every product of a customer, bought in one order or in more."""
-    return sa.repeat_customers(orders(spark, folder).withColumn("customer_id", F.struct("customer_id", "product_id")))
+    return sa.repeat_customers(orders(spark, folder, by_order=True).withColumn("customer_id", F.struct("customer_id", "product_id")))
 
 
 @query("LIM1", WITH + f"SELECT ship_mode AS product_name, {S.cents('sum(sales)')} AS total_sales FROM sales GROUP BY 1 ORDER BY total_sales DESC, product_name LIMIT 2")

@@ -19,6 +19,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+#: Rows of the larger table that one task joins, on average, where almost every row is a group of its own.
+ROWS_PER_TASK = 1_000_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """Number of tasks for a join and grouping that keep almost every row; 1 where one task can take them all.
+
+    Adaptive execution merges shuffle partitions by their compressed bytes, and millions of narrow rows fit into those:
+    dealt into this number of partitions instead, each task gets a bounded number of rows, whatever the size of the table.
+    """
+    tasks = -(-rows.count() // ROWS_PER_TASK)
+    return max(tasks, rows.sparkSession.sparkContext.defaultParallelism) if tasks > 1 else 1
+
+
 def month_of(column: str):
     return F.trunc(F.col(column).cast("date"), "month")
 
@@ -74,11 +88,13 @@ def market_facts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sales_orders(spark: SparkSession, folder: str) -> DataFrame:
-    """Order lines as sales facts with fixed-decimal amounts."""
-    joined = table(spark, folder, "lineitem").join(
-        table(spark, folder, "orders"), F.col("l_orderkey") == F.col("o_orderkey")
-    )
+def sales_orders(spark: SparkSession, folder: str, by_order: bool = False) -> DataFrame:
+    """Order lines as sales facts with fixed-decimal amounts. ``by_order``: to be grouped by order, see `tasks_for`."""
+    lines, heads = table(spark, folder, "lineitem"), table(spark, folder, "orders")
+    tasks = tasks_for(lines) if by_order else 1
+    if tasks > 1:
+        lines, heads = lines.repartition(tasks, "l_orderkey"), heads.repartition(tasks, "o_orderkey")
+    joined = lines.join(heads, F.col("l_orderkey") == F.col("o_orderkey"))
     price = _money("l_extendedprice")
     net = price * (1 - _money("l_discount"))
     return joined.select(
