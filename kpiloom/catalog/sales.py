@@ -62,7 +62,7 @@ def top_customers(spark, folder):
 
 @query("SQL6", SQL6)
 def behaviour(spark, folder):
-    return sa.customer_behaviour(orders(spark, folder))
+    return sa.customer_behaviour(orders(spark, folder, by_order=True))
 
 
 @query("SQL7", SQL7)
@@ -89,7 +89,7 @@ def ranked(spark, folder):
 @query("AGG12", WITH + f"SELECT product_id AS customer_id, count(DISTINCT order_id) AS total_orders, {S.cents('sum(sales)')} AS total_spent, "
        f"{S.money('sum(sales)::DOUBLE / count(DISTINCT order_id)')} AS avg_order_value FROM sales GROUP BY product_id")
 def product_behaviour(spark, folder):
-    return sa.customer_behaviour(orders(spark, folder).withColumn("customer_id", F.col("product_id")))
+    return sa.customer_behaviour(orders(spark, folder, by_order=True).withColumn("customer_id", F.col("product_id")))
 
 
 _AGG13 = (WITH + f"SELECT {S.cents('sum(quantity * 100 + sales)')} AS total_revenue, {S.cents('sum(profit - discount * 100)')} AS total_profit, "
@@ -163,7 +163,7 @@ _REST = ", ".join(c for c in _ORDER_COLUMNS if c not in ("order_id", "product_id
   SELECT *, row_number() OVER (PARTITION BY order_id, product_id ORDER BY {_REST}) AS place FROM sales) WHERE place = 1 AND product_id NOT IN (SELECT product_id FROM products WHERE category = 'ECONOMY')""")
 def insert_ignored(spark, folder):
     """Rows to add beside a target that already holds every order of economy products."""
-    facts = orders(spark, folder).select(*_ORDER_COLUMNS)
+    facts = orders(spark, folder, by_order=True).select(*_ORDER_COLUMNS)
     economy = views.products(spark, folder).filter(F.col("category") == "ECONOMY")
     target = facts.join(economy, "product_id", "left_semi")
     added = sets.insert_ignore(facts, target, ["order_id", "product_id"])
