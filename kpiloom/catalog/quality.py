@@ -151,7 +151,7 @@ def validation_row(spark, folder):
 
 @query("CHK1", f"WITH {S.SALES} SELECT order_id, product_id, count(*) AS n FROM sales GROUP BY order_id, product_id HAVING count(*) > 1")
 def repeated_keys(spark, folder):
-    return sets.repeated_keys(views.sales_orders(spark, folder), ["order_id", "product_id"])
+    return sets.repeated_keys(views.sales_orders(spark, folder, by_order=True), ["order_id", "product_id"])
 
 
 @query("CHK1_single", "SELECT 'orders' AS table_name, count(*) - count(DISTINCT o_orderkey) AS n FROM orders UNION ALL SELECT 'part', count(*) - count(DISTINCT p_partkey) FROM part "

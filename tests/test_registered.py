@@ -37,7 +37,7 @@ def test_blocks_of_the_analyses_cover_every_order_line(spark, con):
     assert 0 < totals.total_profit < totals.total_revenue and 0 < totals.profit_margin_pct < 100
 
 
-@pytest.mark.parametrize("name", ["AGG16", "AGG16_all", "AGG12"])
+@pytest.mark.parametrize("name", ["AGG16", "AGG16_all", "AGG12", "CHK1"])
 def test_order_lines_are_dealt_into_tasks_of_bounded_size(spark, tmp_path, monkeypatch, name):
     spark.sql("SELECT id AS o_orderkey, id % 7 AS o_custkey, TIMESTAMP '2024-01-01 00:00:00' AS o_orderdate FROM range(300)").write.parquet(f"{tmp_path}/orders.parquet")
     spark.sql("""SELECT IF(id % 90 = 0, NULL, id % 310) AS l_orderkey, id % 5 AS l_partkey, DATE '2024-01-02' AS l_shipdate, 'N' AS l_returnflag,
