@@ -2,6 +2,7 @@
 
 import random
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -33,6 +34,55 @@ def test_cached_ids_are_the_library_s(spark, name, separator, leading, monkeypat
             assert np.array_equal(ids[a:b], want), repr(text)[:80]
 
 
+def test_a_word_is_learnt_once_whatever_mark_is_beside_it():
+    encoder = tokens.TextEncoder(queries.vocabulary(TOKENIZERS[0][0]), *TOKENIZERS[0][1:])
+    words = [f"{a}{b}{c}" for a in ("wor", "tön", "мир") for b in ("a", "é", "и") for c in ("l", "ß", "7")]
+    marks = [".", ",", "!", "?", ";", ":", ")", "%", "&&", ".\nNext"]
+    texts = [" ".join(["x", *(w + m for w in words), "y"]) for m in marks]
+    ids, counts = encoder.encode(pa.array(texts))
+    for text, want, e, c in zip(texts, encoder.plain(texts), np.cumsum(counts), counts, strict=True):
+        assert np.array_equal(ids[e - c : e], want), text
+    assert len(encoder.slots) <= len(words) + len(marks) + 5
+
+
+def test_finer_cuts_are_exact():
+    encoder = tokens.TextEncoder(queries.vocabulary(TOKENIZERS[0][0]), *TOKENIZERS[0][1:])
+    rng = random.Random(4)
+    parts = ["a", "B", "é", "ß", "×", "÷", "ї", "文", "ʹ", "7", "٣", ".", "'", "'s", "'ll", "|", "<", ">", "<|endoftext|>", "-", "\n", "\t", "\r", "\x85", "\u00a0", "\u0301", "\U0001f600", "\x00", " a", " .", " 7", " é", " ", " \n"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(6000)] + ["", "\n", "\nA", ".\nA", "\n\nA", "a.\n\nB", " ", ".", "é."]
+    # safe and unsafe texts, in one slice that does not begin at the first
+    for given in (pa.array(["before\n", *texts]).slice(1), pa.array([t.replace(" ", "") for t in texts]), pa.array(["", None])):
+        ids, counts = encoder.encode(given)
+        for text, want, e, c in zip(given.to_pylist(), encoder.plain([t or "" for t in given.to_pylist()]), np.cumsum(counts), counts, strict=True):
+            assert np.array_equal(ids[e - c : e], want), repr(text)
+
+
+@pytest.mark.parametrize("part", [8, 64, 4096])
+@pytest.mark.parametrize("size,top", [(0, 1), (1, 2), (8, 3), (63, 300), (64, 300), (65, 300), (5000, 70000)])
+def test_planes_are_parted_alike_in_any_parts(part, size, top, monkeypatch):
+    ids = np.random.default_rng(size).integers(0, top, size).astype(np.uint32)
+    whole = wavelet.WaveletMatrix.of(ids)
+    monkeypatch.setattr(wavelet, "PART", part)
+    matrix = wavelet.WaveletMatrix.of(ids)
+    assert len(matrix.planes) == len(whole.planes) and all(np.array_equal(a.packed, b.packed) and np.array_equal(a.blocks, b.blocks) for a, b in zip(matrix.planes, whole.planes, strict=True))
+    assert np.array_equal(whole.decode(), ids) and np.array_equal(matrix.decode(), ids)
+
+
+def test_parting_needs_no_places_of_a_whole_plane():
+    ids = np.random.default_rng(6).integers(0, 1 << 16, 2_000_000, np.uint16).astype(np.uint32)
+
+    def peak(work):
+        tracemalloc.start()
+        made = work()
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return made, most / ids.size
+
+    matrix, built = peak(lambda: wavelet.WaveletMatrix.of(ids))
+    decoded, read = peak(matrix.decode)
+    assert np.array_equal(decoded, ids) and built < 10.2 and read < 9.1, (built, read)
+
+
 def test_parting_a_plane_costs_less_than_by_masks():
     ids = np.random.default_rng(5).integers(0, 1 << 16, 1_000_000, np.uint16).astype(np.uint32)
 
