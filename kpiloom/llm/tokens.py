@@ -2,12 +2,11 @@
 
 Both tokenizers used here never form a token across a space that a visible character follows. So a text is cut
 there, distinct words of a batch are looked up in a cache, and only new ones go through the library, many in one
-string. The byte-level one never joins a letter or digit with a mark after it either, nor a single line end with what
-comes next; its texts are cut there too, so that a word is learnt once and not again with every mark beside it. Where a
-word begins or ends is seen from its tokens; words whose tokens don't show it are kept apart by a special token, which
-ends every segment. Texts whose spaces don't allow the cut, and words that hold the special token themselves, are
-encoded by the library as they are. The cache lives in the Python worker, is bounded, and starts anew when full; results
-don't depend on it.
+string. Neither joins a letter or digit with a mark after it, nor a single line end with what comes next; texts are cut
+there too, so that a word is learnt once and not again with every mark beside it. Where a word begins or ends is seen
+from its tokens; words whose tokens don't show it are kept apart by a special token, which ends every segment. Texts whose
+spaces don't allow the cut, and words that hold the special token themselves, are encoded by the library as they are. The
+cache lives in the Python worker, is bounded, and starts anew when full; results don't depend on it.
 """
 
 from __future__ import annotations
@@ -27,7 +26,8 @@ WORDS_PER_STRING = 1000
 #: A space before white space, at the end, or NUL: such a text isn't cut. White space as the tokenizer's pattern has it.
 _UNSAFE = " [\\s\\x0b\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]| $|\\x00"
 #: Bytes after which a mark begins a token: ASCII letters and digits; and those that lead a letter of two bytes (U+00C0 to
-#: U+027F and U+0400 to U+047F, where only the signs of multiplication and division are none).
+#: U+027F and U+0400 to U+047F, where only the signs of multiplication and division are none; U+0130 is left out, as its
+#: lower case ends in a combining dot).
 _PLAIN, _LEAD, _SHOWN = (np.isin(np.arange(256), list(some)) for some in (
     b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", b"\xc3\xc4\xc5\xc6\xc7\xc8\xc9\xd0\xd1", range(0x21, 0x7F)))
 
@@ -81,8 +81,7 @@ class TextEncoder:
 
     def _batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if not self.leading_space:
-            words_of = pc.split_pattern(texts, " ")
-            return self._coded(pc.list_flatten(words_of), np.cumsum(pc.list_value_length(words_of).to_numpy(zero_copy_only=False), dtype=np.int64))
+            return self._coded(*self._pieces(texts))
         unsafe = pc.match_substring_regex(texts, _UNSAFE).to_numpy(zero_copy_only=False)
         if not unsafe.any():
             return self._coded(*self._pieces(texts))
@@ -106,7 +105,7 @@ class TextEncoder:
         np.equal(raw, 0x20, out=begins[:size])
         marks = np.flatnonzero(self.marks[raw[1:]]) + 1
         last, lead = raw[marks - 1], raw[np.maximum(marks - 2, 0)]
-        letter = (last & 0xC0 == 0x80) & _LEAD[lead] & ~((lead == 0xC3) & (last & 0xDF == 0x97))
+        letter = (last & 0xC0 == 0x80) & _LEAD[lead] & ~((lead == 0xC3) & (last & 0xDF == 0x97)) & ~((lead == 0xC4) & (last == 0xB0))
         begins[marks[_PLAIN[last] | letter]] = True
         lines = np.flatnonzero(raw[1:-1] == 0x0A) + 2
         begins[lines[_SHOWN[raw[lines]] & _SHOWN[raw[lines - 2]]]] = True
@@ -135,7 +134,7 @@ class TextEncoder:
         for i, word in enumerate(words):
             if self.separator in word:
                 odd.append(i)
-            elif (word[:1] == " ") if self.leading_space else word.lower().isalpha():
+            elif (word[:1] == " ") if self.leading_space else word.lstrip(" ").lower().isalpha():
                 simple.append(i)
             else:
                 others.append(i)

@@ -34,8 +34,9 @@ def test_cached_ids_are_the_library_s(spark, name, separator, leading, monkeypat
             assert np.array_equal(ids[a:b], want), repr(text)[:80]
 
 
-def test_a_word_is_learnt_once_whatever_mark_is_beside_it():
-    encoder = tokens.TextEncoder(queries.vocabulary(TOKENIZERS[0][0]), *TOKENIZERS[0][1:])
+@pytest.mark.parametrize("name,separator,leading", TOKENIZERS)
+def test_a_word_is_learnt_once_whatever_mark_is_beside_it(name, separator, leading):
+    encoder = tokens.TextEncoder(queries.vocabulary(name), separator, leading)
     words = [f"{a}{b}{c}" for a in ("wor", "tön", "мир") for b in ("a", "é", "и") for c in ("l", "ß", "7")]
     marks = [".", ",", "!", "?", ";", ":", ")", "%", "&&", ".\nNext"]
     texts = [" ".join(["x", *(w + m for w in words), "y"]) for m in marks]
@@ -45,10 +46,11 @@ def test_a_word_is_learnt_once_whatever_mark_is_beside_it():
     assert len(encoder.slots) <= len(words) + len(marks) + 5
 
 
-def test_finer_cuts_are_exact():
-    encoder = tokens.TextEncoder(queries.vocabulary(TOKENIZERS[0][0]), *TOKENIZERS[0][1:])
+@pytest.mark.parametrize("name,separator,leading", TOKENIZERS)
+def test_finer_cuts_are_exact(name, separator, leading):
+    encoder = tokens.TextEncoder(queries.vocabulary(name), separator, leading)
     rng = random.Random(4)
-    parts = ["a", "B", "é", "ß", "×", "÷", "ї", "文", "ʹ", "7", "٣", ".", "'", "'s", "'ll", "|", "<", ">", "<|endoftext|>", "-", "\n", "\t", "\r", "\x85", "\u00a0", "\u0301", "\U0001f600", "\x00", " a", " .", " 7", " é", " ", " \n"]
+    parts = ["a", "B", "é", "ß", "×", "÷", "ї", "İ", "Σ", "ŉ", "ǰ", "\u0338", "<|startoftext|>", "=", "文", "ʹ", "7", "٣", ".", "'", "'s", "'ll", "|", "<", ">", "<|endoftext|>", "-", "\n", "\t", "\r", "\x85", "\u00a0", "\u0301", "\U0001f600", "\x00", " a", " .", " 7", " é", " ", " \n"]
     texts = ["".join(rng.choices(parts, k=rng.randint(0, 12))) for _ in range(6000)] + ["", "\n", "\nA", ".\nA", "\n\nA", "a.\n\nB", " ", ".", "é."]
     # safe and unsafe texts, in one slice that does not begin at the first
     for given in (pa.array(["before\n", *texts]).slice(1), pa.array([t.replace(" ", "") for t in texts]), pa.array(["", None])):
